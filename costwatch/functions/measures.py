@@ -25,28 +25,26 @@ def pct_difference(value: Column, base: Column) -> Column:
     )
 
 
-def round_cents(c: Column) -> Column:
-    """Two decimals, scaled value rounded half to even."""
-    return F.rint(c * 100) / 100
-
-
-def route_matches(note_route: Column, route: Column) -> Column:
-    """Same route, or a note for all routes. Case counts in route names."""
-    from costwatch.functions.text import strip
-    from costwatch.settings import ALL_ROUTES
+def round_exact(c: Column, decimals: int) -> Column:
+    """Nearest decimal to the exact binary value, as C and Python format it; ties to even.
 
-    return (strip(note_route) == strip(route)) | (F.lower(strip(note_route)) == ALL_ROUTES)
+    Spark's own rounding starts from the shortest decimal text of a double, which sends
+    0.15 (binary 0.1499...) up. Splitting the value in two halves makes the product with a
+    power of ten exact, so that the side of a tie can be told.
+    """
+    scale = float(10**decimals)
+    high = c * 134217729.0 - (c * 134217729.0 - c)
+    floor = F.floor(c * scale).cast("double")
+    beyond_half = (high * scale - (floor + 0.5)) + (c - high) * scale
+    up = F.when(beyond_half == 0, floor % 2 != 0).otherwise(beyond_half > 0)
+    return (floor + F.when(up, 1.0).otherwise(0.0)) / scale
 
 
-def route_matches_lenient(note_route: Column, route: Column) -> Column:
-    """As `route_matches`, without regard to case and repeated blanks."""
-    from costwatch.functions.text import normalize_text
-    from costwatch.settings import ALL_ROUTES
-
-    return normalize_text(note_route).isin(ALL_ROUTES) | (
-        normalize_text(note_route) == normalize_text(route)
-    )
+def decimal_text(c: Column, decimals: int) -> Column:
+    """Fixed-point text of a finite number."""
+    return F.format_string(f"%.{decimals}f", round_exact(c, decimals))
 
 
-def date_matches(note_date: Column, week_of: Column, days: int) -> Column:
-    return F.abs(F.date_diff(note_date, week_of)) <= days
+def round_cents(c: Column) -> Column:
+    """Two decimals, scaled value rounded half to even."""
+    return F.rint(c * 100) / 100

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from costwatch import settings
+from costwatch.functions.measures import decimal_text
 
 # Unicode white space, spelled out: Java's plain \s covers ASCII only.
 WHITESPACE = (
@@ -72,7 +73,7 @@ def signed_percent(pct: Column) -> Column:
     """`+12.3` / `-4.0`, ties to even."""
     size = F.abs(pct)
     number = F.when(size == float("inf"), "inf").otherwise(
-        F.format_string("%.1f", F.bround(size, 1))
+        decimal_text(size, 1)
     )
     return F.concat(F.when(pct >= 0, "+").otherwise("-"), number)
 
@@ -102,7 +103,7 @@ def clean_note_id(note_id: Column) -> Column:
 
 def format_money(amount: Column) -> Column:
     return F.when(amount.isNull() | F.isnan(amount), "N/A").otherwise(
-        F.concat(F.lit("₹"), F.format_string("%.2f", amount))
+        F.concat(F.lit("₹"), decimal_text(amount, 2))
     )
 
 

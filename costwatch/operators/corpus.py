@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costwatch import settings
+from costwatch.functions.measures import decimal_text
 from costwatch.functions.text import strip
 
 
@@ -68,6 +69,9 @@ def retrieval_queries(route_weeks: DataFrame) -> DataFrame:
         "route",
         "week_of",
         F.format_string(
-            settings.QUERY_FORMAT, "route", F.col("week_of").cast("string"), "cost_per_tonne_km"
+            settings.QUERY_FORMAT,
+            "route",
+            F.col("week_of").cast("string"),
+            decimal_text(F.col("cost_per_tonne_km"), 6),
         ).alias("text"),
     )

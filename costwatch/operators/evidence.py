@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costwatch.functions.measures import date_matches, route_matches, route_matches_lenient
+from costwatch.functions.rules import date_matches, route_matches, route_matches_lenient
 from costwatch.functions.text import (
     has_negative_evidence,
     has_positive_evidence,

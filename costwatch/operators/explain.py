@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costwatch import settings
+from costwatch.functions.measures import decimal_text
 from costwatch.functions.text import strip, word_count
 from costwatch.operators.verdict import default_explanation
 
@@ -26,7 +27,7 @@ ANSWER_RULES = (
 
 def _percent(name: str) -> Column:
     return F.when(F.col(name).isNull(), "N/A").otherwise(
-        F.concat(F.format_string("%.1f", F.bround(name, 1)), F.lit("%"))
+        F.concat(F.when(F.col(name) < 0, "-").otherwise(""), decimal_text(F.abs(name), 1), F.lit("%"))
     )
 
 
@@ -38,7 +39,7 @@ def ground_prompts(verdicts: DataFrame, note_texts: DataFrame) -> DataFrame:
         F.lit(GROUND_RULES),
         F.concat(F.lit("Route: "), "route"),
         F.concat(F.lit("Week: "), F.col("week_of").cast("string")),
-        F.concat(F.lit("Cost per tonne-km: "), F.format_string("%.2f", "cost_per_tonne_km")),
+        F.concat(F.lit("Cost per tonne-km: "), decimal_text(F.col("cost_per_tonne_km"), 2)),
         F.concat(F.lit("Against own history: "), _percent("vs_own_history_pct")),
         F.concat(F.lit("Against similar routes: "), _percent("vs_similar_routes_pct")),
         F.concat(F.lit("Note id: "), "note_id"),

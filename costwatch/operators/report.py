@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costwatch import settings
-from costwatch.functions.measures import date_matches
+from costwatch.functions.rules import date_matches
 from costwatch.functions.text import (
     clean_note_id,
     extract_percent,

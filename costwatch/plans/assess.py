@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -65,8 +65,9 @@ def ask(
     notes: DataFrame,
     k: int = QUESTION_TOP_K,
     generator: Callable | None = None,
+    stop_words: Sequence[str] | None = None,
 ) -> DataFrame:
     """Answer every question (query_id, text) from result rows and notes."""
     docs = stage(qa_corpus(results, notes), "qa_corpus")
-    hits = tfidf_search(questions, tfidf_index(docs), k)
+    hits = tfidf_search(questions, tfidf_index(docs, stop_words), k)
     return answer(qa_prompts(questions, hits, docs), generator)

@@ -43,7 +43,7 @@ def query(function):
 def rounded(df: DataFrame, decimals: int = 6) -> DataFrame:
     """Doubles and decimals rounded, so that both engines print the same value."""
     fields = {
-        f.name: F.round(F.col(f.name).cast("double"), decimals)
+        f.name: F.round(F.col(f.name).cast("double") * 10.0**decimals) / 10.0**decimals
         for f in df.schema.fields
         if f.dataType.typeName() in ("double", "float", "decimal")
     }
@@ -412,7 +412,10 @@ def question_answers(spark, sf_dir):
     """Questions over result rows and notes, to the answer and its token counts."""
     results = _assessment(spark, sf_dir).results
     return assess.ask(
-        mapping.questions(spark, sf_dir), results, mapping.notes(spark, sf_dir)
+        mapping.questions(spark, sf_dir),
+        results,
+        mapping.notes(spark, sf_dir),
+        stop_words=STOP_WORDS,
     ).select("query_id", "n_evidence", "answer", "input_tokens", "output_tokens")
 
 
@@ -444,11 +447,12 @@ def _passage_vectors(spark, sf_dir):
 
 
 def _hybrid_inputs(spark, sf_dir):
+    docs, vectors = mapping.corpus(spark, sf_dir), mapping.vectors(spark, sf_dir, "document_id")
     return (
         mapping.passages(spark, sf_dir),
         _passage_vectors(spark, sf_dir),
-        lexical.lexical_index(mapping.corpus(spark, sf_dir)),
-        mapping.vectors(spark, sf_dir, "document_id"),
+        lexical.lexical_index(docs),
+        stage(vectors.join(docs.select("document_id"), "document_id", "left_semi"), "vectors"),
     )
 
 

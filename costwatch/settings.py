@@ -100,9 +100,9 @@ FINDING_FORMAT = (
     "Comparison with own history: %s. Comparison with similar routes: %s. "
     "Verdict: %s. Matched note: %s. Reason: %s."
 )
-# arguments: route, week, cost
+# arguments: route, week, cost with six decimals
 QUERY_FORMAT = (
-    "shipping cost increase for route %s during week %s cost per tonne-km %.6f "
+    "shipping cost increase for route %s during week %s cost per tonne-km %s "
     "possible freight cost surcharge fuel toll weather "
     "festival demand truck availability disruption"
 )
