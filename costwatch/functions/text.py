@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,24 +12,34 @@ from pyspark.sql import functions as F
 from costwatch import settings
 from costwatch.functions.measures import decimal_text
 
-# Unicode white space, spelled out: Java's plain \s covers ASCII only.
+# Characters of Unicode white space. Java's plain \s covers ASCII only.
 WHITESPACE = (
-    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
 )
 # Token patterns of the two text indexes.
 LEXICAL_TOKEN = r"[a-z0-9]+(?:-[a-z0-9]+)*"
 WORD_TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` evaluated once, however often `body` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(c, rf"\A{WHITESPACE}+|{WHITESPACE}+\z", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def normalize_text(c: Column) -> Column:
     """Lower case, single blanks, no outer blanks."""
-    return F.trim(F.regexp_replace(F.lower(c), f"{WHITESPACE}+", " "))
+    blanks = F.translate(F.lower(c), WHITESPACE, " " * len(WHITESPACE))
+    collapsed = let(
+        blanks, lambda t: F.when(t.contains("  "), F.regexp_replace(t, " {2,}", " ")).otherwise(t)
+    )
+    return F.trim(collapsed)
 
 
 def tokenize(c: Column) -> Column:
@@ -36,10 +48,15 @@ def tokenize(c: Column) -> Column:
 
 
 def bigrams(tokens: Column) -> Column:
-    n = F.greatest(F.size(tokens) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(tokens, 1, n), F.slice(tokens, 2, n), lambda a, b: F.concat_ws(" ", a, b)
-    )
+    """Neighbouring tokens, joined by a blank."""
+
+    def pairs(t: Column) -> Column:
+        n = F.greatest(F.size(t) - 1, F.lit(0))
+        return F.zip_with(
+            F.slice(t, 1, n), F.slice(t, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)
+        )
+
+    return let(tokens, pairs)
 
 
 def word_ngrams(c: Column, stop_words: Sequence[str]) -> Column:
@@ -47,15 +64,32 @@ def word_ngrams(c: Column, stop_words: Sequence[str]) -> Column:
     words = F.regexp_extract_all(F.lower(c), F.lit(WORD_TOKEN), F.lit(0))
     if stop_words:
         words = F.filter(words, lambda w: ~w.isin(*stop_words))
-    return F.concat(words, bigrams(words))
+    return let(words, lambda w: F.concat(w, bigrams(w)))
+
+
+def matches_any(normal: Column, patterns: Sequence[str]) -> Column:
+    """Whether a pattern is found in normalised text.
+
+    Plain phrases are looked up as substrings, without those that hold another phrase. The
+    other patterns run as regular expressions, and only where all their fixed parts occur:
+    an alternation over whole texts costs many times more.
+    """
+    plain = [p for p in patterns if re.escape(p).replace("\\ ", " ") == p]
+    found = [normal.contains(p) for p in plain if not any(q != p and q in p for q in plain)]
+    for pattern in patterns:
+        if pattern not in plain:
+            parts = [p for p in re.split(r"\(.*?\)|.\?|\.\*", pattern) if p.strip()]
+            fixed = reduce(Column.__and__, [normal.contains(p) for p in parts])
+            found.append(fixed & normal.rlike(pattern))
+    return reduce(Column.__or__, found)
 
 
 def has_positive_evidence(text: Column) -> Column:
-    return normalize_text(text).rlike("|".join(settings.POSITIVE_PATTERNS))
+    return let(normalize_text(text), lambda t: matches_any(t, settings.POSITIVE_PATTERNS))
 
 
 def has_negative_evidence(text: Column) -> Column:
-    return normalize_text(text).rlike("|".join(settings.NEGATIVE_PATTERNS))
+    return let(normalize_text(text), lambda t: matches_any(t, settings.NEGATIVE_PATTERNS))
 
 
 def note_snippet(text: Column) -> Column:

@@ -22,6 +22,7 @@ from costwatch.operators.ranking import SCORE_DECIMALS, best_hits
 QUERY_BLOCK = 2_048  # queries per block
 POSTING_BLOCK = 4_000_000  # (document, term) rows per block
 VECTOR_BLOCK = 131_072  # vectors per block
+SCORE_CELLS = 1_000_000  # scores held at a time inside a task
 # Below these sizes a block is not split further to occupy idle cores.
 MIN_POSTING_BLOCK = 20_000
 MIN_VECTOR_BLOCK = 256
@@ -103,23 +104,36 @@ def sparse_top_k(
         if q.empty or p.empty:
             return _frame([], [], [])
         docs, doc_pos = np.unique(p["document_id"].to_numpy(), return_inverse=True)
-        p = pd.DataFrame({"term": p["term"], "doc": doc_pos, "w": p["weight"].to_numpy()})
-        by_term = {t: (g["doc"].to_numpy(), g["w"].to_numpy()) for t, g in p.groupby("term")}
-        query_ids, doc_ids, scores = [], [], []
-        for query_id, terms in q.sort_values("term").groupby("query_id"):
-            total = np.zeros(len(docs))
-            hit = np.zeros(len(docs), dtype=bool)
-            for term, weight in zip(terms["term"], terms["weight"]):
-                if term in by_term:
-                    where, w = by_term[term]
-                    total[where] += weight * w
-                    hit[where] = True
-            total = np.where(hit, np.round(total, SCORE_DECIMALS), -np.inf)
-            best = _take_best(total, k, -np.inf)
-            query_ids.append(query_id)
-            doc_ids.append(docs[best])
-            scores.append(total[best])
-        return _frame(query_ids, doc_ids, scores)
+        codes, terms = pd.factorize(p["term"])
+        by_term = np.argsort(codes, kind="stable")
+        doc_pos, doc_weight = doc_pos[by_term], p["weight"].to_numpy()[by_term]
+        starts = np.searchsorted(codes[by_term], np.arange(len(terms) + 1))
+
+        q = q.assign(code=pd.Index(terms).get_indexer(q["term"]))
+        q = q[q["code"] >= 0].sort_values(["query_id", "term"])
+        asked, query_pos = np.unique(q["query_id"].to_numpy(), return_inverse=True)
+        code, weight = q["code"].to_numpy(), q["weight"].to_numpy()
+        first = starts[code]
+        size = starts[code + 1] - first
+
+        doc_ids, scores = [], []
+        step = max(1, SCORE_CELLS // len(docs))
+        for low in range(0, len(asked), step):  # a batch of queries, bounded in cells
+            rows = slice(*np.searchsorted(query_pos, [low, low + step]))
+            n = min(step, len(asked) - low)
+            total = np.zeros(n * len(docs))
+            hit = np.zeros(n * len(docs), dtype=bool)
+            row_of = (query_pos[rows] - low) * len(docs)
+            for row, at, length, w in zip(row_of, first[rows], size[rows], weight[rows]):
+                cells = row + doc_pos[at : at + length]
+                total[cells] += w * doc_weight[at : at + length]
+                hit[cells] = True
+            total = np.where(hit, np.round(total, SCORE_DECIMALS), -np.inf).reshape(n, -1)
+            for line in total:
+                best = _take_best(line, k, -np.inf)
+                doc_ids.append(docs[best])
+                scores.append(line[best])
+        return _frame(list(asked), doc_ids, scores)
 
     blocks = block_count(postings, posting_rows, POSTING_BLOCK, MIN_POSTING_BLOCK)
     return _pairwise_top_k(query_terms, postings, blocks, k, score)

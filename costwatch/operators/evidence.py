@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costwatch.functions.rules import date_matches, route_matches, route_matches_lenient
-from costwatch.functions.text import (
-    has_negative_evidence,
-    has_positive_evidence,
-    note_snippet,
-    strip,
-)
+from costwatch.functions.text import matches_any, normalize_text, note_snippet, strip
 from costwatch.operators.ranking import top_k
-from costwatch.settings import ALL_ROUTES, NOTE_WINDOW_DAYS, TOP_K
+from costwatch.settings import (
+    ALL_ROUTES,
+    NEGATIVE_PATTERNS,
+    NOTE_WINDOW_DAYS,
+    POSITIVE_PATTERNS,
+    TOP_K,
+)
 
 EVIDENCE_COLUMNS = [
     "route",
@@ -33,11 +34,16 @@ EVIDENCE_COLUMNS = [
 
 def with_text_flags(notes: DataFrame, text_col: str = "note") -> DataFrame:
     """Text rules, evaluated once per note rather than once per pair."""
-    return notes.withColumns(
-        {
-            "positive_evidence": has_positive_evidence(F.col(text_col)),
-            "negative_evidence": has_negative_evidence(F.col(text_col)),
-        }
+    normal = F.col("_normal")
+    return (
+        notes.withColumn("_normal", normalize_text(F.col(text_col)))
+        .withColumns(
+            {
+                "positive_evidence": matches_any(normal, POSITIVE_PATTERNS),
+                "negative_evidence": matches_any(normal, NEGATIVE_PATTERNS),
+            }
+        )
+        .drop("_normal")
     )
 
 

@@ -92,19 +92,24 @@ def rerank(
     pairs = hits.select("query_id", "document_id").join(
         docs.select("document_id", F.col("text").alias("_doc")), "document_id"
     )
-    pairs = pairs.join(queries.select("query_id", F.col("text").alias("_query")), "query_id")
     if scorer is not None:
+        pairs = pairs.join(queries.select("query_id", F.col("text").alias("_query")), "query_id")
         score = F.pandas_udf(scorer, "double")(F.col("_query"), F.col("_doc"))
     else:
-        pairs = pairs.join(_query_weights(queries, index), "query_id", "left")
-        words, doc_words = tokenize(F.col("_query")), tokenize(F.col("_doc"))
-        asked, found = F.array_distinct(bigrams(words)), bigrams(doc_words)
+        asked = queries.select(
+            "query_id", F.array_distinct(bigrams(tokenize(F.col("text")))).alias("_pairs")
+        )
+        pairs = pairs.join(asked, "query_id").join(
+            _query_weights(queries, index), "query_id", "left"
+        )
+        pairs = pairs.withColumn("_words", tokenize(F.col("_doc")))
         covered = F.aggregate(
-            F.array_intersect(F.map_keys("_idf"), doc_words),
+            F.array_intersect(F.map_keys("_idf"), "_words"),
             F.lit(0.0),
             lambda total, term: total + F.col("_idf")[term],
         )
-        shared = F.size(F.array_intersect(asked, found)) / F.greatest(F.size(asked), F.lit(1))
+        shared = F.size(F.array_intersect("_pairs", bigrams(F.col("_words"))))
+        shared = shared / F.greatest(F.size("_pairs"), F.lit(1))
         score = F.coalesce(covered / F.col("_idf_sum"), F.lit(0.0)) + BIGRAM_WEIGHT * shared
     scored = pairs.withColumn("rerank_score", F.round(score, SCORE_DECIMALS))
     return best_hits(scored.select("query_id", "document_id", "rerank_score"), "rerank_score", k)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
@@ -34,6 +34,8 @@ class LexicalIndex:
     terms: DataFrame
     n_postings: int
     tokens: Callable[[Column], Column]
+    weights: DataFrame | None = None
+    """(document_id, term, weight): tf-idf of every posting, not yet scaled to unit length."""
 
 
 def lexical_index(
@@ -96,11 +98,13 @@ def okapi_idf(index: LexicalIndex) -> DataFrame:
     )
 
 
-def _weighted(index: LexicalIndex, wanted: DataFrame, weight: Column) -> DataFrame:
-    """Postings of the wanted terms (one row per term with its idf) with a weight."""
-    return index.postings.join(wanted, "term").select(
-        "document_id", "term", weight.alias("weight")
-    )
+def _by_term(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings joined with one row per term.
+
+    The hash table is built on the terms, whose keys are distinct and so spread evenly; the
+    postings of a frequent term are only streamed past it, in parts where AQE splits them.
+    """
+    return postings.join(terms.hint("shuffle_hash"), "term")
 
 
 def bm25_search(
@@ -123,7 +127,10 @@ def bm25_search(
     )
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length_norm)
     asked = terms.select("query_id", "term", F.col("qtf").cast("double").alias("weight"))
-    hits = sparse_top_k(asked, _weighted(index, wanted, weight), index.n_postings, k)
+    held = index.postings.join(wanted, "term").select(
+        "document_id", "term", weight.alias("weight")
+    )
+    hits = sparse_top_k(asked, held, index.n_postings, k)
     if not pad:
         return hits
     spare = index.documents.select("document_id").orderBy("document_id").limit(k)
@@ -145,38 +152,48 @@ def default_stop_words() -> list[str]:
 def tfidf_index(
     docs: DataFrame, stop_words: Sequence[str] | None = None, text_col: str = "text"
 ) -> LexicalIndex:
-    """Index of words and word pairs without stop words."""
+    """Index of words and word pairs without stop words, with tf-idf weights.
+
+    idf = ln((1 + n) / (1 + df)) + 1.
+    """
     stop = default_stop_words() if stop_words is None else list(stop_words)
-    return lexical_index(docs, text_col, lambda c: word_ngrams(c, stop))
+    index = lexical_index(docs, text_col, lambda c: word_ngrams(c, stop))
+    weights = _by_term(index.postings, _smooth_idf(index)).select(
+        "document_id", "term", (F.col("tf") * F.col("idf")).alias("weight")
+    )
+    return replace(index, weights=stage(weights, "weights"))
+
+
+def _smooth_idf(index: LexicalIndex) -> DataFrame:
+    n = index.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return index.terms.select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def tfidf_search(queries: DataFrame, index: LexicalIndex, k: int = QUESTION_TOP_K) -> DataFrame:
     """`k` best documents per question by cosine of tf-idf vectors, positive scores only.
 
-    idf = ln((1 + n) / (1 + df)) + 1; terms that the corpus lacks do not count.
+    Terms that the corpus lacks do not count. The length of a document vector is summed
+    over all its terms; only postings of terms that some question holds are scored.
     """
-    n = index.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
-    idf = index.terms.select(
-        "term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf")
+    if index.weights is None:
+        raise ValueError("not a tf-idf index")
+    terms = stage(query_terms(queries, index.tokens), "question_terms")
+    known = _by_term(_smooth_idf(index), terms.select("term").distinct())
+    asked = terms.join(known, "term").select(
+        "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
     )
-    asked = query_terms(queries, index.tokens).join(idf, "term")
-    asked = _unit(asked.withColumn("weight", F.col("qtf") * F.col("idf")), "query_id")
-    # Norms need every term of a document, scores only those that some query holds.
-    full = index.postings.join(idf, "term").select(
-        "document_id", "term", (F.col("tf") * F.col("idf")).alias("weight")
-    )
-    norms = full.groupBy("document_id").agg(F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("_n"))
-    wanted = query_terms(queries, index.tokens).select("term").distinct()
-    weights = (
-        full.join(wanted, "term", "left_semi")
-        .join(norms, "document_id")
-        .select("document_id", "term", (F.col("weight") / F.col("_n")).alias("weight"))
-    )
-    return sparse_top_k(asked, weights, index.n_postings, k).filter("score > 0")
-
-
-def _unit(terms: DataFrame, key: str) -> DataFrame:
-    norms = terms.groupBy(key).agg(F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("_n"))
+    held = index.weights.join(terms.select("term").distinct(), "term", "left_semi")
+    return sparse_top_k(
+        _unit(asked, asked, "query_id"),
+        _unit(held, index.weights, "document_id"),
+        index.n_postings,
+        k,
+    ).filter("score > 0")
+
+
+def _unit(terms: DataFrame, all_terms: DataFrame, key: str) -> DataFrame:
+    """Weights divided by the length of the whole vector."""
+    norms = all_terms.groupBy(key).agg(F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("_n"))
     return terms.join(norms, key).select(
         key, "term", (F.col("weight") / F.col("_n")).alias("weight")
     )

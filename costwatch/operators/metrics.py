@@ -16,8 +16,10 @@ WEEK_KEY = ["route", "week_of"]
 def weekly_metrics(df: DataFrame) -> DataFrame:
     """One row per route and week; the cost is the ratio of the sums.
 
-    One shuffle. Partial aggregation leaves each map task with one row per route-week, so
-    a route that holds most of the shipments is no heavier to merge than any other.
+    The route type is that of the earliest shipment. Types are part of the first grouping
+    key, so that every aggregate over shipments is a number and runs as a hash aggregate.
+    Partial aggregation leaves each map task with one row per route, week and type, so a
+    route that holds most of the shipments is no heavier to merge than any other.
     """
     require_columns(
         df,
@@ -25,16 +27,21 @@ def weekly_metrics(df: DataFrame) -> DataFrame:
         "weekly metrics",
     )
     quantity, distance = no_nan(F.col("quantity_tonnes")), no_nan(F.col("distance_km"))
-    order = [F.col(c) for c in ("shipment_date", "shipment_id") if c in df.columns]
-    sums = df.groupBy(*WEEK_KEY).agg(
-        F.min_by("route_type", F.struct(*order)).alias("route_type")
-        if order
-        else F.min("route_type").alias("route_type"),
+    dated = "shipment_date" if "shipment_date" in df.columns else "week_of"
+    by_type = df.groupBy(*WEEK_KEY, "route_type").agg(
         F.sum(quantity).alias("total_quantity_tonnes"),
         F.sum(distance).alias("total_distance_km"),
         F.sum(quantity * distance).alias("total_tonne_km"),
         F.sum("freight_cost_inr").alias("total_freight_cost_inr"),
         F.count(F.lit(1)).alias("shipment_count"),
+        F.min(dated).alias("_first"),
+    )
+    totals = [c for c in by_type.columns if c.startswith("total_") or c == "shipment_count"]
+    sums = by_type.groupBy(*WEEK_KEY).agg(
+        F.min(F.when(F.col("route_type").isNotNull(), F.struct("_first", "route_type")))[
+            "route_type"
+        ].alias("route_type"),
+        *[F.sum(c).alias(c) for c in totals],
     )
     freight = F.col("total_freight_cost_inr").cast("double")
     tonne_km = F.col("total_tonne_km")

@@ -8,11 +8,17 @@ jobs use a form that scales.
 from __future__ import annotations
 
 from costwatch import settings
-from costwatch.functions.text import LEXICAL_TOKEN, WHITESPACE, WORD_TOKEN
+from costwatch.functions.text import LEXICAL_TOKEN, WORD_TOKEN
 from costwatch.plans.queries import STOP_WORDS
 from costwatch.sources.mapping import NOTE_SENTENCES
 
 
+WHITESPACE = (
+    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+
+
 def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

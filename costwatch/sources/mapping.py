@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from costwatch.functions.measures import monday
 from costwatch.functions.text import word_count
+from costwatch.staging import spread
 
 # Note sentences per class `doc_id % 10`. Classes 0, 1, 2 and 9 are valid
 # evidence, 3 and 4 negative, 5 and 6 say nothing on costs, 7 and 8 both.
@@ -24,8 +25,30 @@ NOTE_SENTENCES = [
 ]
 
 
+# Column types of the benchmark tables. Stating them spares every query a job
+# that reads file footers to find them out.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+    "events": "ts timestamp_ntz, user_id bigint, value double",
+    "documents": "doc_id bigint, text string",
+    "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def _places(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
@@ -46,7 +69,8 @@ def shipments(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> D
     The customer chain is joined to orders before the line items, so the largest table is
     shuffled once for orders and, unless suppliers fit a broadcast, once for suppliers.
     """
-    line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    orders = table(spark, sf_dir, "orders")
     customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
     to_places, from_places = _places(spark, sf_dir, "to"), _places(spark, sf_dir, "from")
     destinations = customer.join(
@@ -58,7 +82,8 @@ def shipments(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> D
     ordered = orders.join(destinations, orders["o_custkey"] == destinations["c_custkey"])
     gap = F.abs(F.col("from_region") - F.col("to_region"))
     return (
-        line.join(ordered, line["l_orderkey"] == ordered["o_orderkey"])
+        # Compressed file sizes make the line items look small enough to broadcast.
+        line.join(ordered.hint("merge"), line["l_orderkey"] == ordered["o_orderkey"])
         .join(origins, line["l_suppkey"] == origins["s_suppkey"])
         .select(
             F.concat_ws(
@@ -83,7 +108,7 @@ def shipments(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> D
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, whole, as a dated note for one route or (each 26th) for all routes."""
-    docs, region = table(spark, sf_dir, "documents"), table(spark, sf_dir, "region")
+    docs, region = documents(spark, sf_dir), table(spark, sf_dir, "region")
     start = region.select(F.col("r_regionkey").alias("_a"), F.col("r_name").alias("_from"))
     end = region.select(F.col("r_regionkey").alias("_b"), F.col("r_name").alias("_to"))
     slot = F.pmod("doc_id", F.lit(26))
@@ -150,7 +175,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document_id"), "text")
+    return documents(spark, sf_dir).withColumnRenamed("doc_id", "document_id")
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:

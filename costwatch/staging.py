@@ -36,6 +36,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/costwatch/{uuid.uuid4().hex}/{name}"
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a file scan over the cores where it has fewer partitions than that.
+
+    A single file with one row group would leave the work of a whole table to one core. A
+    scan with enough partitions, as of any large table, is left as it is. `key` should be
+    (nearly) unique.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once under a fresh path and return the written table."""
     spark = df.sparkSession
