@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from costwatch.operators.ranking import SCORE_DECIMALS, best_hits
 
 QUERY_BLOCK = 2_048  # queries per block
-POSTING_BLOCK = 4_000_000  # (document, term) rows per block
-VECTOR_BLOCK = 131_072  # vectors per block
+POSTING_BLOCK = 2_000_000  # (document, term) rows per block
+VECTOR_BLOCK = 32_768  # vectors per block
 SCORE_CELLS = 1_000_000  # scores held at a time inside a task
 # Below these sizes a block is not split further to occupy idle cores.
 MIN_POSTING_BLOCK = 20_000
