@@ -13,7 +13,7 @@ from costwatch.functions.text import tokenize, word_ngrams
 from costwatch.operators.blocks import sparse_top_k
 from costwatch.operators.ranking import best_hits
 from costwatch.settings import QUESTION_TOP_K, TOP_K
-from costwatch.staging import stage
+from costwatch.staging import join_side, stage
 
 # Okapi parameters; a negative idf is replaced by EPSILON times the mean idf.
 K1 = 1.5
@@ -61,7 +61,7 @@ def lexical_index(
     df = stage(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
     return LexicalIndex(
         postings=terms,
-        documents=postings.select("document_id", "length").distinct(),
+        documents=stage(postings.select("document_id", "length").distinct(), "lengths"),
         terms=df,
         n_postings=postings.count(),  # from file footers
         tokens=tokens,
@@ -98,15 +98,6 @@ def okapi_idf(index: LexicalIndex) -> DataFrame:
     )
 
 
-def _by_term(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings joined with one row per term.
-
-    The hash table is built on the terms, whose keys are distinct and so spread evenly; the
-    postings of a frequent term are only streamed past it, in parts where AQE splits them.
-    """
-    return postings.join(terms.hint("shuffle_hash"), "term")
-
-
 def bm25_search(
     queries: DataFrame, index: LexicalIndex, k: int = TOP_K, pad: bool = False
 ) -> DataFrame:
@@ -118,6 +109,7 @@ def bm25_search(
     """
     terms = query_terms(queries, index.tokens)
     wanted = okapi_idf(index).join(terms.select("term").distinct(), "term", "left_semi")
+    wanted = stage(wanted, "query_vocabulary")
     length_norm = (
         1
         - B
@@ -127,7 +119,7 @@ def bm25_search(
     )
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length_norm)
     asked = terms.select("query_id", "term", F.col("qtf").cast("double").alias("weight"))
-    held = index.postings.join(wanted, "term").select(
+    held = index.postings.join(join_side(wanted), "term").select(
         "document_id", "term", weight.alias("weight")
     )
     hits = sparse_top_k(asked, held, index.n_postings, k)
@@ -158,7 +150,8 @@ def tfidf_index(
     """
     stop = default_stop_words() if stop_words is None else list(stop_words)
     index = lexical_index(docs, text_col, lambda c: word_ngrams(c, stop))
-    weights = _by_term(index.postings, _smooth_idf(index)).select(
+    # Built on the terms: their keys are distinct, and those of frequent terms only stream by.
+    weights = index.postings.join(_smooth_idf(index).hint("shuffle_hash"), "term").select(
         "document_id", "term", (F.col("tf") * F.col("idf")).alias("weight")
     )
     return replace(index, weights=stage(weights, "weights"))
@@ -178,11 +171,12 @@ def tfidf_search(queries: DataFrame, index: LexicalIndex, k: int = QUESTION_TOP_
     if index.weights is None:
         raise ValueError("not a tf-idf index")
     terms = stage(query_terms(queries, index.tokens), "question_terms")
-    known = _by_term(_smooth_idf(index), terms.select("term").distinct())
-    asked = terms.join(known, "term").select(
+    known = _smooth_idf(index).join(terms.select("term").distinct(), "term", "left_semi")
+    known = stage(known, "query_vocabulary")
+    asked = terms.join(join_side(known), "term").select(
         "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
     )
-    held = index.weights.join(terms.select("term").distinct(), "term", "left_semi")
+    held = index.weights.join(join_side(known.select("term")), "term", "left_semi")
     return sparse_top_k(
         _unit(asked, asked, "query_id"),
         _unit(held, index.weights, "document_id"),

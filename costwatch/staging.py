@@ -11,6 +11,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000  # of narrow rows: a few megabytes
 
 _local_dirs: dict[str, str] = {}
 
@@ -53,3 +56,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def join_side(written: DataFrame) -> DataFrame:
+    """A narrow written table with distinct keys as the build side of a join.
+
+    Counted first (from file footers): broadcast while it is small, so that the other side is
+    not shuffled, else a shuffled hash join. Its keys are distinct, so they spread evenly;
+    rows of a frequent key are on the other side, which AQE splits.
+    """
+    small = written.count() <= BROADCAST_ROWS
+    return F.broadcast(written) if small else written.hint("shuffle_hash")

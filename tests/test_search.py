@@ -111,7 +111,9 @@ def test_tfidf_against_brute_force(spark, docs, queries):
         same(got[query_id], [h for h in best(scores, 4) if round(h[1], 8) > 0])
 
 
-def test_dense_against_brute_force(spark):
+@pytest.mark.parametrize("query_block", [3, 100])  # in blocks, and as a scan
+def test_dense_against_brute_force(spark, monkeypatch, query_block):
+    monkeypatch.setattr(blocks, "QUERY_BLOCK", query_block)
     rng = np.random.default_rng(5)
     matrix = rng.normal(size=(70, 8))
     matrix[20:50] = matrix[20]  # copies: ties go to the smaller id
