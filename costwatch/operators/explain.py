@@ -13,6 +13,7 @@ from costwatch import settings
 from costwatch.functions.measures import decimal_text
 from costwatch.functions.text import strip, word_count
 from costwatch.operators.verdict import default_explanation
+from costwatch.staging import stage
 
 GROUND_RULES = (
     "Explain the cost rise below in one or two sentences. Use only the figures and the note "
@@ -74,8 +75,9 @@ def qa_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFr
         hits.join(docs, "document_id")
         .groupBy("query_id")
         .agg(
-            F.array_sort(F.collect_list(F.struct("rank", block.alias("block")))).alias("_blocks"),
-            F.min_by("document_id", "rank").alias("best_document"),
+            F.array_sort(
+                F.collect_list(F.struct("rank", "document_id", block.alias("block")))
+            ).alias("_blocks")
         )
     )
     evidence = F.array_join(F.transform("_blocks", lambda b: b["block"]), "\n\n")
@@ -86,7 +88,7 @@ def qa_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFr
     return asked.join(blocks, "query_id", "left").select(
         "query_id",
         F.coalesce(F.size("_blocks"), F.lit(0)).cast("bigint").alias("n_evidence"),
-        F.col("best_document").cast("string").alias("best_document"),
+        F.col("_blocks")[0]["document_id"].cast("string").alias("best_document"),
         F.when(F.col("_blocks").isNotNull(), prompt).alias("prompt"),
     )
 
@@ -138,23 +140,25 @@ def explain(prompts: DataFrame, generator: Callable | None = None) -> DataFrame:
 
 def answer(prompts: DataFrame, generator: Callable | None = None) -> DataFrame:
     """Answer and token counts per question; one without evidence gets a fixed answer, free."""
-    found = prompts.filter("prompt is not null")
-    if generator is not None:
-        answered = _generate(found, "answer", generator)
-    else:
+    none = F.lit(settings.NO_EVIDENCE_ANSWER)
+    if generator is None:
         best = F.concat(
             F.lit("Best of "), F.col("n_evidence").cast("string"),
             F.lit(" pieces of evidence: "), "best_document", F.lit("."),
         )
-        answered = _fill(found, "answer", best)
-    none = prompts.filter("prompt is null").withColumns(
+        found = F.col("prompt").isNotNull()
+        filled = _fill(prompts, "answer", F.when(found, best).otherwise(none))
+        tokens = ("input_tokens", "output_tokens")
+        return filled.withColumns({c: F.when(found, F.col(c)).otherwise(0) for c in tokens})
+    prompts = stage(prompts, "prompts")  # read by both branches
+    free = prompts.filter("prompt is null").withColumns(
         {
-            "answer": F.lit(settings.NO_EVIDENCE_ANSWER),
+            "answer": none,
             "input_tokens": F.lit(0).cast("bigint"),
             "output_tokens": F.lit(0).cast("bigint"),
         }
     )
-    return answered.unionByName(none)
+    return _generate(prompts.filter("prompt is not null"), "answer", generator).unionByName(free)
 
 
 def usage_cost(

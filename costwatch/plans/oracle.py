@@ -585,6 +585,13 @@ FROM results WHERE month(CAST(week_of AS DATE)) <> 12"""
        bool_and(rows_a = rows_b AND differences = 0) OVER () AS all_passed
 FROM ({_run_diff("1 vs 2", "results", "results")} UNION ALL {_run_diff("2 vs 3", "results", "changed")})"""
     spoilt = {"spoilt": _SPOILT}
+    label_summary = build(
+        ["notes", "flagged_notes", "labeled"],
+        """SELECT count(*) AS total_cases, count(*) FILTER (passed) AS passed_cases,
+       count(*) FILTER (NOT passed) AS failed_cases,
+       round_even(count(*) FILTER (passed) / count(*), 4) AS pass_rate FROM evaluated""",
+        {"evaluated": _LABEL_EVAL},
+    )
     tfidf = _tfidf_ctes("corpus")
     return {
         "shipments_prepared": build(
@@ -725,13 +732,8 @@ WHERE week_of = (SELECT min(week_of) FROM weekly v WHERE v.route = w.route)""",
         ),
         "investigation": on_results(_INVESTIGATION, ["flagged_notes"]),
         "label_eval": build(["notes", "flagged_notes", "labeled"], _LABEL_EVAL),
-        "label_eval_summary": build(
-            ["notes", "flagged_notes", "labeled"],
-            """SELECT count(*) AS total_cases, count(*) FILTER (passed) AS passed_cases,
-       count(*) FILTER (NOT passed) AS failed_cases,
-       round_even(count(*) FILTER (passed) / count(*), 4) AS pass_rate FROM evaluated""",
-            {"evaluated": _LABEL_EVAL},
-        ),
+        "label_eval_summary": label_summary,
+        "roundtrip_labels": label_summary,
         "run_diff": on_results(diff, None, {"changed": changed}),
         "note_docs": build(NOTE_DOCS, "SELECT * FROM note_documents"),
         "qa_corpus": on_results(_QA_CORPUS),

@@ -553,6 +553,17 @@ def roundtrip_csv(spark, sf_dir):
     )
 
 
+@query
+def roundtrip_labels(spark, sf_dir):
+    """Labelled cases written as CSV, read back and evaluated."""
+    path = fresh_path(spark, "labels_csv")
+    mapping.labeled(spark, sf_dir).write.csv(path, header=True, escape='"')
+    labeled = files.read_labeled(spark, path)
+    return evaluate.evaluation_summary(
+        evaluate.evaluate_cases(labeled, mapping.notes(spark, sf_dir))
+    )
+
+
 @query
 def roundtrip_results(spark, sf_dir):
     """Result table written as CSV in route and week order, and read back."""

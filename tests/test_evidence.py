@@ -195,3 +195,36 @@ def test_questions(spark):
     assert "context_note|N1" in got[1]["answer"] and got[1]["input_tokens"] > 0
     assert got[2]["answer"] == settings.NO_EVIDENCE_ANSWER
     assert (got[2]["input_tokens"], got[2]["output_tokens"]) == (0, 0)
+    own = assess.ask(
+        questions, result_rows(spark), notes,
+        generator=lambda ps: [{"text": "x", "input_tokens": 5, "output_tokens": 1} for _ in ps],
+    )
+    made = {r["query_id"]: (r["answer"], r["input_tokens"]) for r in own.collect()}
+    assert made == {1: ("x", 5), 2: (settings.NO_EVIDENCE_ANSWER, 0)}
+
+
+def test_assess_with_own_generator(spark):
+    """Explanations come from the generator, once per justified route-week."""
+    day = D("2025-01-06")
+    rows = [
+        (f"S{r}{w}", "A", r, "Short", 10.0, 10.0, 100.0 if w < 3 else 200.0, day + dt.timedelta(weeks=w))
+        for r in ("B", "C") for w in range(4)
+    ]
+    shipments = spark.createDataFrame(
+        rows,
+        "shipment_id string, origin string, destination string, route_type string, "
+        "quantity_tonnes double, distance_km double, freight_cost_inr double, shipment_date date",
+    )
+    notes = spark.createDataFrame(
+        [("N1", D("2025-01-28"), "A-B", "A surcharge was applied."), ("N2", day, "A-C", "Rain.")],
+        NOTES,
+    )
+    done = assess.assess(
+        shipments, notes, "pre",
+        generator=lambda ps: [{"text": "made", "input_tokens": 7, "output_tokens": 1} for _ in ps],
+    )
+    got = {(r["route"], r["week_of"]): (r["flagged"], r["reason"]) for r in done.results.collect()}
+    assert len(got) == 8
+    assert got[("A-B", "2025-01-27")] == ("No (justified)", "made")
+    assert got[("A-C", "2025-01-27")] == ("Yes", settings.NO_NOTE_REASON)
+    assert [r["input_tokens"] for r in done.calls.collect()] == [7]
