@@ -47,14 +47,8 @@ def default_explanation() -> Column:
     )
 
 
-def assign_verdict(
-    scored: DataFrame, evidence: DataFrame, explanations: DataFrame | None = None
-) -> DataFrame:
-    """Verdict, matched note and reason for every route-week.
-
-    `evidence` is that of the candidates. `explanations` (route, week_of, reason) replaces
-    the default wording for justified rows.
-    """
+def assign_verdict(scored: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Verdict, matched note and reason for every route-week; `evidence` of the candidates."""
     best = first_valid(evidence)
     out = scored.join(best, ["route", "week_of"], "left")
     candidate, valid = F.col("is_candidate_anomaly"), F.col("valid").isNotNull()
@@ -72,14 +66,9 @@ def assign_verdict(
             "snippet": F.col("_note.snippet"),
         }
     )
-    explained = default_explanation()
-    if explanations is not None:
-        given = explanations.select("route", "week_of", F.col("reason").alias("_given"))
-        out = out.join(given, ["route", "week_of"], "left")
-        explained = F.coalesce("_given", explained)
     reason = (
         F.when(F.col("flagged") == settings.NORMAL, settings.NORMAL_REASON)
-        .when(F.col("flagged") == settings.JUSTIFIED, explained)
+        .when(F.col("flagged") == settings.JUSTIFIED, default_explanation())
         .when(F.col("note_id").isNull(), settings.NO_NOTE_REASON)
         .otherwise(rejected_reason(F.col("note_id"), F.col("note_date"), F.col("snippet")))
     )
@@ -94,6 +83,13 @@ def assign_verdict(
     )
 
 
+def with_explanations(verdicts: DataFrame, explanations: DataFrame) -> DataFrame:
+    """Reasons replaced where `explanations` (route, week_of, reason) has one."""
+    given = explanations.select("route", "week_of", F.col("reason").alias("_given"))
+    joined = verdicts.join(given, ["route", "week_of"], "left")
+    return joined.withColumn("reason", F.coalesce("_given", "reason")).select(*verdicts.columns)
+
+
 def shape_results(verdicts: DataFrame) -> DataFrame:
     """The eight result columns in their order, formatted."""
     return with_comparison_text(verdicts).select(

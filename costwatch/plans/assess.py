@@ -13,7 +13,7 @@ from costwatch.operators.hybrid import retrieve_evidence
 from costwatch.operators.lexical import tfidf_index, tfidf_search
 from costwatch.operators.metrics import candidates, score_route_weeks, weekly_metrics
 from costwatch.operators.prepare import prepare_shipments
-from costwatch.operators.verdict import assign_verdict, shape_results
+from costwatch.operators.verdict import assign_verdict, shape_results, with_explanations
 from costwatch.settings import QUESTION_TOP_K, THRESHOLD_PCT
 from costwatch.staging import stage
 
@@ -53,8 +53,7 @@ def assess(
     explained = explain(ground_prompts(verdicts, note_docs(notes)), generator)
     if generator is not None:  # one call per explanation: keep its text, never ask twice
         explained = stage(explained, "explanations")
-        given = explained.select("route", "week_of", "reason")
-        verdicts = assign_verdict(scored, evidence, given)
+        verdicts = with_explanations(verdicts, explained)
     calls = explained.select("route", "week_of", "input_tokens", "output_tokens")
     return Assessment(verdicts, shape_results(verdicts), calls)
 
