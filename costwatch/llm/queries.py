@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costwatch.llm import mixing, sharding
+from costwatch.llm import decontaminate, mixing, neardup, quality, rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,3 +29,25 @@ def op2_sharding(spark, sf_dir):
 @query
 def op10_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark, sf_dir):
+    return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_rules(spark, sf_dir):
+    return rules.rule_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_neardup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=2)
+
+
+@query
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.leak_digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
