@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costwatch.llm import decontaminate, mixing, neardup, quality, rules, sharding
+from costwatch.llm import brown, chat, decontaminate, mixing, neardup, quality, rules, sharding, tokens
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -51,3 +53,21 @@ def op3_decontaminate(spark, sf_dir):
     return decontaminate.leak_digest(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op7_tokens(spark, sf_dir):
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.read_pieces(VOCABULARY))
+
+
+@query
+def op9_chat(spark, sf_dir):
+    return chat.chat_turns(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op9_chat"] = chat.CHAT_SQL
+
+
+@query
+def op4_brown(spark, sf_dir):
+    return brown.scored(table(spark, sf_dir, "documents"), brown.training())
