@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costwatch.llm import brown, chat, decontaminate, mixing, neardup, quality, rules, sharding, tokens
+from costwatch.llm import brown, chat, decontaminate, html, mixing, neardup, quality, rules, sharding, tokens
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
