@@ -205,7 +205,7 @@ def mix_pieces(
     )
     begin = F.col("block") * block_words
     return (
-        parts.join(slots, ["source_ix", "block"])
+        parts.join(slots.hint("merge"), ["source_ix", "block"])  # grows with the mix: no broadcast
         .withColumn("_low", F.greatest(begin, F.col("_start")) - F.col("_start"))
         .withColumn("_high", F.least(begin + F.col("limit"), ends) - F.col("_start"))
         .filter(F.col("_high") > F.col("_low"))

@@ -306,3 +306,13 @@ def near_duplicates(documents: DataFrame, n: int = 2) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
     )
+
+
+def drop_duplicates(documents: DataFrame, n: int = 5) -> DataFrame:
+    """`documents` with one row of each component: that of the smallest id.
+
+    Rows of a component without any id stay; rows equal in id and text count as one.
+    """
+    kept = near_duplicates(documents, n).filter("kept").select("doc_id").distinct()
+    without = documents.filter("doc_id is null")
+    return documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(without)
