@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from costwatch.llm import brown, chat, decontaminate, html, mixing, neardup, quality, rules, sharding, tokens
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -76,3 +77,8 @@ ORACLE_SQL["op9_chat"] = chat.CHAT_SQL
 @query
 def op4_brown(spark, sf_dir):
     return brown.scored(table(spark, sf_dir, "documents"), brown.training())
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
