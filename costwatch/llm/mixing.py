@@ -205,7 +205,7 @@ def mix_pieces(
     )
     begin = F.col("block") * block_words
     return (
-        parts.join(slots.hint("merge"), ["source_ix", "block"])  # grows with the mix: no broadcast
+        parts.join(slots, ["source_ix", "block"])
         .withColumn("_low", F.greatest(begin, F.col("_start")) - F.col("_start"))
         .withColumn("_high", F.least(begin + F.col("limit"), ends) - F.col("_start"))
         .filter(F.col("_high") > F.col("_low"))
@@ -261,9 +261,13 @@ def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: in
         ),
         " ",
     )
-    texts = documents.withColumn("_uid", F.xxhash64("doc_id", "text")).dropDuplicates(["_uid"])
-    mixed = texts.join(uses, "_uid").withColumn("text", F.when(used == F.col("size"), F.col("text")).otherwise(part))
-    if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        mixed = mixed.withColumn("n_chars", F.length("text").cast(kind))
-    return mixed.select(*documents.columns)
+    # The row travels as one column, so no name of the caller can meet one of these.
+    texts = documents.select(F.xxhash64("doc_id", "text").alias("_uid"), F.struct("*").alias("_of"), "text")
+    mixed = texts.dropDuplicates(["_uid"]).join(uses, "_uid")
+    text = F.when(used == F.col("size"), F.col("text")).otherwise(part)
+    mixed = mixed.select("_of", text.alias("_new"))
+    columns = {name: F.col("_of").getField(name) for name in documents.columns}
+    columns["text"] = F.col("_new")
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("_new").cast(documents.schema["n_chars"].dataType)
+    return mixed.select(*[column.alias(name) for name, column in columns.items()])

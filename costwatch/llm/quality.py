@@ -258,16 +258,17 @@ def fit(stats: DataFrame, labels: DataFrame, seed: int = 5) -> Model:
     return model
 
 
-def score_texts(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """`documents` with the score of each whole text, without a shuffle."""
+def text_scores(text: Column, model: Model) -> Column:
+    """The score of each whole text, on Arrow batches and without a shuffle."""
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for text in texts:
-            column = pa.array(text, pa.large_string(), from_pandas=True)
-            yield pd.Series(model.score(_batch_statistics(column).astype(np.float32).astype(float)))
+        for part in texts:
+            column = pa.array(part, pa.large_string(), from_pandas=True)
+            stats = _batch_statistics(column).astype(np.float32)
+            yield pd.Series(model.score(stats.astype(float)))
 
-    return documents.withColumn(name, scored(F.col("text").cast("string")))
+    return scored(text.cast("string"))
 
 
 def train_on(documents: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:

@@ -56,21 +56,25 @@ def number_slots(
     counts read only `key` and `shard`. `order` breaks ties of the key; rows equal in all of
     them are interchangeable.
     """
-    parts = sharded.withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)).cast("int")
+    # The row travels as one column, so no name of the caller can meet these.
+    parts = sharded.select(
+        F.col("shard").alias("_shard"),
+        F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)).cast("int").alias("_bucket"),
+        F.struct("*").alias("_of"),
     )
-    before = Window.partitionBy("shard").orderBy("_bucket")
+    before = Window.partitionBy("_shard").orderBy("_bucket")
     begins = (
-        parts.groupBy("shard", "_bucket")
+        parts.groupBy("_shard", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("shard", "_bucket", (F.sum("_n").over(before) - F.col("_n")).alias("_begin"))
+        .select("_shard", "_bucket", (F.sum("_n").over(before) - F.col("_n")).alias("_begin"))
     )
-    within = Window.partitionBy("shard", "_bucket").orderBy(key, *order)
+    by = [F.col("_of").getField(name) for name in (key, *order)]
+    within = Window.partitionBy("_shard", "_bucket").orderBy(*by)
+    kept = [F.col("_of").getField(c).alias(c) for c in sharded.columns if c != "slot"]
     return (
         parts.withColumn("_row", F.row_number().over(within))
-        .join(begins, ["shard", "_bucket"])
-        .withColumn("slot", F.col("_begin") + F.col("_row") - 1)
-        .drop("_bucket", "_begin", "_row")
+        .join(begins, ["_shard", "_bucket"])
+        .select(*kept, (F.col("_begin") + F.col("_row") - 1).alias("slot"))
     )
 
 
