@@ -13,7 +13,6 @@ are scored, are near-duplicates of nothing, hold no benchmark item, and have no
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from costwatch.llm import decontaminate, mixing, neardup, quality, sharding
 from costwatch.staging import stage
@@ -29,8 +28,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of at least the cut; labels of other documents are unused."""
     model, _ = quality.train_on(docs, _table(spark, sf_dir, "labels"))
-    scored = quality.score_texts(docs, model, "_score")
-    return scored.filter(F.col("_score") >= quality.CUT).select(*docs.columns)
+    return docs.filter(quality.text_scores(docs["text"], model) >= quality.CUT)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
