@@ -213,7 +213,8 @@ def class_gains(grid: np.ndarray, right: np.ndarray, left: np.ndarray, self_coun
     columns = (_f(grid + left[:, None]) - _f(grid)).sum(0)
     own = np.diag(grid)
     cross = _f(own + right + left + self_count) - _f(own + right) - _f(own + left) + _f(own)
-    out, into = grid.sum(1), grid.sum(0)
+    # The word also adds to the totals of its neighbours' classes, wherever it goes itself.
+    out, into = grid.sum(1) + left, grid.sum(0) + right
     total_out, total_in = right.sum() + self_count, left.sum() + self_count
     return rows + columns + cross - (_f(out + total_out) - _f(out)) - (_f(into + total_in) - _f(into))
 

@@ -10,9 +10,8 @@ from costwatch.llm import sharding
 
 def draw(key, shard, weight):
     seed = 42
-    for value in (key, shard):
+    for size, value in (("<q", key), ("<i", shard)):
         if value is not None:
-            size = "<q" if value is key else "<i"
             seed = xxhash.xxh64_intdigest(struct.pack(size, value), seed=seed)
     return -math.log(((seed >> 11) + 0.5) * 2.0**-53) / weight
 
