@@ -2,8 +2,8 @@
 
 A seed hashes five of up to nine successive words, those where its mask has a 1; words under a 0
 may differ. The masks are fixed so that two texts with at least 80 % equal words over 13 words or
-more share a seed. Seeds of the documents that are in a bitmap of all test seeds (fixed size; it
-only saves work) are joined with the test seeds by hash. A hit gives an alignment of one document
+more share a seed. Seeds of the documents that are in a Bloom filter of all test seeds (fixed size;
+it only saves work) are joined with the test seeds by hash. A hit gives an alignment of one document
 with one test item; around it the longest stretch with at least 80 % equal words is taken, and it
 counts from 13 words on, or from the whole item where that is shorter.
 
@@ -29,6 +29,7 @@ MASKS = ("11111", "110001011", "11110001")
 LEAST_WORDS = 13
 LEAST_EQUAL = 0.8
 BITMAP_BITS = 1 << 22
+BITMAP_SHIFTS = (0, 21, 42)  # three parts of a seed; one alone lets through too many
 
 
 def seeds(hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -64,7 +65,8 @@ def seeded(texts: DataFrame, bitmap=None) -> DataFrame:
                 places, found = [], []
                 for seed, fits in seeds(hashes, words.first):
                     if allowed is not None:
-                        fits = fits & allowed[seed & np.uint64(BITMAP_BITS - 1)]
+                        for shift in BITMAP_SHIFTS:
+                            fits &= allowed[(seed >> np.uint64(shift)) & np.uint64(BITMAP_BITS - 1)]
                     at = np.flatnonzero(fits)
                     places.append(at)
                     found.append(seed[at])
@@ -93,7 +95,8 @@ def seeded(texts: DataFrame, bitmap=None) -> DataFrame:
 def seed_bitmap(tests: DataFrame):
     """Bits of all test seeds; its size does not depend on the number of tests."""
     bits = np.zeros(BITMAP_BITS, np.uint8)
-    places = tests.select(F.col("seed").bitwiseAND(BITMAP_BITS - 1).cast("int").alias("bit"))
+    parts = [F.shiftright("seed", shift).bitwiseAND(BITMAP_BITS - 1) for shift in BITMAP_SHIFTS]
+    places = tests.select(F.explode(F.array(*parts)).alias("bit"))
     bits[places.distinct().toPandas()["bit"].to_numpy(np.int64)] = 1
     return tests.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
