@@ -26,14 +26,14 @@ SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
 SKETCH_K = 1024
 SPREAD = 3.0
-PRIOR_ROWS = 50
+PRIOR_ROWS = 10
 #: Ratios and the least quartile range that their bounds assume.
 SLACK = {
     "symbol_ratio": 0.05,
     "shout_ratio": 0.05,
-    "dup_line_ratio": 0.1,
-    "repeat_ratio": 0.04,
-    "word_length": 0.8,
+    "dup_line_ratio": 0.15,
+    "repeat_ratio": 0.07,
+    "word_length": 1.0,
 }
 
 

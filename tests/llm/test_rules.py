@@ -61,7 +61,7 @@ def test_bounds_follow_the_source(spark):
     table.append((1001, text(rng, 50).replace(" ", "*** "), "en", "code"))
     kept = {r["doc_id"]: r["kept"] for r in rules.rule_digest(documents(spark, table)).collect()}
     assert not kept[1000] and not kept[1001]
-    assert sum(kept.values()) >= 395
+    assert sum(kept.values()) >= 390
 
 
 def test_sketches_merge_and_plans_are_native(spark):
