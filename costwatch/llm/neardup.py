@@ -5,7 +5,7 @@ sets form a class with one node, so copies never meet one another. Each set draw
 MinHash values; nodes that agree on a whole band are candidates. All samples of a set are folded
 into an odd sketch, a bitmap in which each (place, value) flips one bit: the bits that differ
 between two sketches estimate how many samples differ, precisely so at high similarity. Pairs
-that the sketch leaves far below the threshold are dropped (`SLACK` below it, five standard
+that the sketch leaves far below the threshold are dropped (`SLACK` below it, eight standard
 deviations of the estimate); the others are proved on their full sets.
 
 In a bucket of a band every member is first compared with one centre, in several rounds: after
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from costwatch.llm.words import mix, word_slices
 from costwatch.staging import stage
 
-BANDS, ROWS = 28, 4
+BANDS, ROWS = 48, 6
 SKETCH_BITS = 512
 THRESHOLD = 80  # percent
 SLACK = 0.2
@@ -56,10 +56,10 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
             if high - low >= n:
                 yield np.unique(runs[low : high - n + 1])
             elif high > low:
-                whole = hashes[low]
-                for h in hashes[low + 1 : high]:
-                    whole = mix(np.array([whole * np.uint64(3) ^ h]))[0]
-                yield np.array([whole], np.uint64)
+                whole = hashes[low : low + 1]
+                for k in range(low + 1, high):
+                    whole = mix(whole * np.uint64(3) ^ hashes[k : k + 1])
+                yield whole
             else:
                 yield np.empty(0, np.uint64)
 
@@ -146,15 +146,11 @@ def _ordered(a: Column | str, b: Column | str) -> list[Column]:
 
 
 class _Prover:
-    """Turns candidate pairs of nodes into links; each pair is proved once."""
+    """Turns candidate pairs of nodes into links; sketches and sets of all candidates are written once."""
 
-    def __init__(self, documents: DataFrame, drawn: DataFrame, n: int):
-        self.documents, self.drawn, self.n = documents, drawn, n
-
-    def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        ends = F.explode(F.array("a", "b")).alias("node")
+    def __init__(self, documents: DataFrame, drawn: DataFrame, nodes: DataFrame, n: int):
         info = (
-            self.drawn.join(pairs.select(ends).distinct(), "node")
+            drawn.join(nodes, "node", "left_semi")
             .groupBy("node")
             .agg(
                 F.min("doc_id").alias("doc_id"),
@@ -162,9 +158,22 @@ class _Prover:
                 F.first("sketch").alias("sketch"),
             )
         )
-        info = stage(info, f"{name}_info")
-        left = info.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-        right = info.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+        self.info = stage(info, "neardup_info")
+        texts = documents.select("doc_id", "text")
+        texts = texts.join(self.info.select("doc_id").distinct(), "doc_id", "left_semi").unionByName(
+            texts.filter("doc_id is null")
+        )
+        sets = (
+            full_sets(texts, n)
+            .join(nodes, "node", "left_semi")
+            .groupBy("node")
+            .agg(F.first("shingles").alias("shingles"))
+        )
+        self.sets = stage(sets, "neardup_sets")
+
+    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+        left = self.info.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+        right = self.info.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
         bits = F.aggregate(
             F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
             F.lit(0),
@@ -178,19 +187,10 @@ class _Prover:
             .select("a", "b", "n_a", "n_b")
         )
         likely = stage(likely, f"{name}_likely")
-        wanted = info.join(likely.select(ends).distinct(), "node", "left_semi")
-        texts = self.documents.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-        sets = (
-            full_sets(texts, self.n)
-            .join(wanted.select("node"), "node", "left_semi")
-            .groupBy("node")
-            .agg(F.first("shingles").alias("shingles"))
-        )
-        sets = stage(sets, f"{name}_sets")
         shared = F.size(F.array_intersect("x", "y"))
         return (
-            likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+            likely.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
             .filter(shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * THRESHOLD)
             .select("a", "b")
         )
@@ -246,7 +246,6 @@ def _by_root(members: DataFrame, roots: DataFrame) -> DataFrame:
 def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame:
     """node -> root for all nodes that are linked with another one."""
     spark = drawn.sparkSession
-    prover = _Prover(documents, drawn, n)
     banded = drawn.select("node", F.explode("bands").alias("key"))
     shared = (
         banded.groupBy("key")
@@ -255,6 +254,7 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
         .select("key", "centre")
     )
     members = stage(banded.join(shared, "key").distinct(), "neardup_buckets")
+    prover = _Prover(documents, drawn, members.select("node").distinct(), n)
     pairs = members.filter("node != centre").select(*_ordered("node", "centre")).distinct()
     tried = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")

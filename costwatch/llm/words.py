@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 BLANKS = b" \t\n\x0b\x0c\r"
 SPARK_WORD = r"[^\x20\x09-\x0D]+"
 
