@@ -11,8 +11,9 @@ deviations of the estimate); the others are proved on their full sets.
 In a bucket of a band every member is first compared with one centre, in several rounds: after
 each, proved links are contracted to components, and the next centre is compared only with
 members of other components. What is then left in a bucket, members of components that are not
-linked yet, is compared pair by pair. So a group of near copies costs a few comparisons per member
-and no link between different components is left out.
+linked yet, is compared pair by pair, unless their distances to the bucket's first centre differ
+so much that the triangle inequality rules a link out. So a group of near copies costs a few
+comparisons per member and no link between different components is left out.
 
 Null and empty texts and texts without words have an empty set and are linked with nothing.
 A class is known by a 64-bit hash of its set and the set's size. Rows without an id take part
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from costwatch.llm import bloom
 from costwatch.llm.words import mix, word_slices
 from costwatch.staging import stage
 
@@ -129,16 +131,20 @@ def sketches(documents: DataFrame, n: int) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(draw, schema)
 
 
-def full_sets(documents: DataFrame, n: int) -> DataFrame:
-    """node and its whole set, for each document."""
+def full_sets(documents: DataFrame, n: int, wanted) -> DataFrame:
+    """node and its whole set, for documents whose id passes the Bloom filter `wanted`."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bloom.bits(wanted.value)
         for batch in batches:
-            sets = list(shingle_sets(batch.column(0), n))
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            rows = pa.array(np.flatnonzero(bloom.passes(table, keys)))
+            sets = list(shingle_sets(batch.column(1).take(rows), n))
             nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([nodes, _lists(sets)], ["node", "shingles"])
 
-    return documents.select("text").mapInArrow(gather, "node long, shingles array<long>")
+    keyed = documents.select(F.xxhash64("doc_id").alias("key"), "text")
+    return keyed.mapInArrow(gather, "node long, shingles array<long>")
 
 
 def _ordered(a: Column | str, b: Column | str) -> list[Column]:
@@ -159,19 +165,18 @@ class _Prover:
             )
         )
         self.info = stage(info, "neardup_info")
-        texts = documents.select("doc_id", "text")
-        texts = texts.join(self.info.select("doc_id").distinct(), "doc_id", "left_semi").unionByName(
-            texts.filter("doc_id is null")
-        )
+        # Sets leave the scan only where the id passes; the join by node is exact.
+        wanted = bloom.build(self.info, F.xxhash64("doc_id"))
         sets = (
-            full_sets(texts, n)
+            full_sets(documents, n, wanted)
             .join(nodes, "node", "left_semi")
             .groupBy("node")
             .agg(F.first("shingles").alias("shingles"))
         )
         self.sets = stage(sets, "neardup_sets")
 
-    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+    def shared(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs that pass the sketch, with the sizes of intersection and union of their sets."""
         left = self.info.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
         right = self.info.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
         bits = F.aggregate(
@@ -187,13 +192,14 @@ class _Prover:
             .select("a", "b", "n_a", "n_b")
         )
         likely = stage(likely, f"{name}_likely")
-        shared = F.size(F.array_intersect("x", "y"))
-        return (
+        both = F.size(F.array_intersect("x", "y"))
+        proved = (
             likely.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-            .filter(shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * THRESHOLD)
-            .select("a", "b")
+            .select("a", "b", "n_a", "n_b", both.alias("both"))
         )
+        union = F.col("n_a") + F.col("n_b") - F.col("both")
+        return stage(proved.select("a", "b", "both", union.alias("union")), f"{name}_proved")
 
 
 def components(links: DataFrame, roots: DataFrame | None = None, name: str = "links") -> DataFrame:
@@ -243,38 +249,49 @@ def _by_root(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _near(d: Column, other: Column) -> Column:
+    """Whether two sets at these distances from a third can be linked; unknown distances can.
+
+    The Jaccard distance obeys the triangle inequality.
+    """
+    apart = F.abs(d - other) <= 1 - THRESHOLD / 100 + 1e-9
+    return F.coalesce(apart, F.lit(True))
+
+
 def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame:
     """node -> root for all nodes that are linked with another one."""
     spark = drawn.sparkSession
     banded = drawn.select("node", F.explode("bands").alias("key"))
-    shared = (
+    pivots = (
         banded.groupBy("key")
-        .agg(F.min("node").alias("centre"), F.max("node").alias("other"))
-        .filter("centre != other")
-        .select("key", "centre")
+        .agg(F.min("node").alias("pivot"), F.max("node").alias("other"))
+        .filter("pivot != other")
+        .select("key", "pivot")
     )
-    members = stage(banded.join(shared, "key").distinct(), "neardup_buckets")
+    members = stage(banded.join(pivots, "key").distinct(), "neardup_buckets")
     prover = _Prover(documents, drawn, members.select("node").distinct(), n)
-    pairs = members.filter("node != centre").select(*_ordered("node", "centre")).distinct()
-    tried = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"), f"neardup_pairs_{turn}")
-        if not pairs.isEmpty():
-            tried = tried.unionByName(pairs)
-            links = stage(prover.links(pairs, f"neardup_{turn}"), f"neardup_links_{turn}")
-            roots = components(links, roots, f"neardup_{turn}")
-        if turn == STAR_ROUNDS:
-            return roots
+    pairs = stage(
+        members.filter("node != pivot").select(*_ordered("node", "pivot")).distinct(), "neardup_pairs"
+    )
+    linked = F.col("both") * 100 >= F.col("union") * THRESHOLD
+    proved = prover.shared(pairs, "neardup")
+    roots = components(proved.filter(linked).select("a", "b"), None, "neardup")
+    # The distance of each member to the first centre of its bucket, where the sketch let it pass.
+    away = proved.select("a", "b", (1 - F.col("both") / F.col("union")).alias("d"))
+    ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
+    members = members.select("key", "node", "pivot", *ends).join(away, ["a", "b"], "left")
+    members = members.select("key", "node", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
+    tried = pairs
+    for turn in range(1, STAR_ROUNDS + 1):
         # Buckets that still hold several components, with a centre each.
-        placed = _by_root(members.select("key", "node"), roots)
-        pick = F.max if turn % 2 == 0 else F.min
+        placed = _by_root(members.select("key", "node", "d"), roots)
+        pick = F.max if turn % 2 else F.min
         open_buckets = (
             placed.groupBy("key")
             .agg(
                 F.min("root").alias("low"),
                 F.max("root").alias("high"),
-                pick(F.struct("root", "node")).alias("centre"),
+                pick(F.struct("root", "node", "d")).alias("centre"),
             )
             .filter("low != high")
             .select("key", "centre")
@@ -282,14 +299,22 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
         members = stage(placed.join(open_buckets, "key"), f"neardup_open_{turn}")
         if members.isEmpty():
             return roots
-        if turn < STAR_ROUNDS - 1:
-            away = members.filter(F.col("root") != F.col("centre.root"))
-            pairs = away.select(*_ordered(F.col("node"), F.col("centre.node"))).distinct()
+        if turn < STAR_ROUNDS:
+            near = _near(F.col("d"), F.col("centre.d")) & (F.col("root") != F.col("centre.root"))
+            pairs = members.filter(near).select(*_ordered(F.col("node"), F.col("centre.node")))
         else:
-            one = members.select("key", F.col("node").alias("a"), F.col("root").alias("_a"))
-            two = members.select("key", F.col("node").alias("b"), F.col("root").alias("_b"))
-            both = one.join(two, "key").filter("a < b and _a != _b")
-            pairs = both.select("a", "b").distinct()
+            one, two = (
+                members.select("key", *[F.col(c).alias(c + end) for c in ("node", "root", "d")])
+                for end in ("_x", "_y")
+            )
+            apart = (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y"))
+            near = apart & _near(F.col("d_x"), F.col("d_y"))
+            pairs = one.join(two, "key").filter(near).select(*_ordered("node_x", "node_y"))
+        pairs = stage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"neardup_pairs_{turn}")
+        if not pairs.isEmpty():
+            tried = tried.unionByName(pairs)
+            links = prover.shared(pairs, f"neardup_{turn}").filter(linked).select("a", "b")
+            roots = components(links, roots, f"neardup_{turn}")
     return roots
 
 
