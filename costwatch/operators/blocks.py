@@ -95,12 +95,13 @@ def _frame(query_ids: list, doc_ids: list, scores: list) -> pd.DataFrame:
 
 
 def sparse_top_k(
-    query_terms: DataFrame, postings: DataFrame, posting_rows: int, k: int
+    query_terms: DataFrame, postings: DataFrame, posting_rows: int, k: int, positive: bool = False
 ) -> DataFrame:
     """Best documents by the sum over common terms of query weight times document weight.
 
     `query_terms` is (query_id, term, weight), `postings` (document_id, term, weight), both
-    with unique (id, term). Documents without a common term are no hits.
+    with unique (id, term). Documents without a common term are no hits, with `positive` also
+    those whose sum is not above 0 (before it is rounded).
     """
 
     def score(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
@@ -131,6 +132,8 @@ def sparse_top_k(
                 cells = row + doc_pos[at : at + length]
                 total[cells] += w * doc_weight[at : at + length]
                 hit[cells] = True
+            if positive:
+                hit &= total > 0
             total = np.where(hit, np.round(total, SCORE_DECIMALS), -np.inf).reshape(n, -1)
             for line in total:
                 best = _take_best(line, k, -np.inf)

@@ -147,21 +147,37 @@ def contained_passages(queries: DataFrame, docs: DataFrame, index: LexicalIndex)
     """(query_id, document_id) where the document holds the query text verbatim.
 
     A document that holds the text holds its inner tokens whole, so each query is joined on
-    its rarest inner token and the few documents found are checked. Queries of fewer than
-    three tokens have no inner token and are left out.
+    its rarest inner token and the few documents found are checked. Queries of one or two tokens
+    have no inner token: the documents to check are those with a token that holds their first
+    one, found among the distinct terms. Queries without a token are looked for in all documents.
     """
     words = tokenize(F.col("text"))
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+    asked = queries.filter("text is not null").withColumn("_words", words)
+    inner = F.slice("_words", 2, F.greatest(F.size("_words") - 2, F.lit(0)))
     anchors = (
-        queries.select("query_id", F.explode(F.array_distinct(inner)).alias("term"))
+        asked.select("query_id", F.explode(F.array_distinct(inner)).alias("term"))
         .join(index.terms, "term")
         .groupBy("query_id")
         .agg(F.min(F.struct("df", "term"))["term"].alias("term"))
     )
-    suspects = anchors.join(index.postings, "term").select("query_id", "document_id")
-    return (
-        suspects.join(docs.select("document_id", F.col("text").alias("_doc")), "document_id")
-        .join(queries.select("query_id", F.col("text").alias("_query")), "query_id")
+    short = asked.filter(F.size("_words").between(1, 2)).select(
+        "query_id", F.col("_words")[0].alias("_part")
+    )
+    wider = short.join(index.terms.select("term"), F.contains("term", "_part")).select("query_id", "term")
+    suspects = (
+        anchors.unionByName(wider)
+        .join(index.postings.select("document_id", "term"), "term")
+        .select("query_id", "document_id")
+        .distinct()
+    )
+    texts = docs.select("document_id", F.col("text").alias("_doc"))
+    found = (
+        suspects.join(texts, "document_id")
+        .join(asked.select("query_id", F.col("text").alias("_query")), "query_id")
         .filter(F.contains("_doc", "_query"))
         .select("query_id", "document_id")
     )
+    bare = asked.filter(F.size("_words") == 0).select("query_id", F.col("text").alias("_query"))
+    return found.unionByName(
+        bare.join(texts, F.contains("_doc", "_query")).select("query_id", "document_id")
+    )

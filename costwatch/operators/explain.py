@@ -93,13 +93,23 @@ def qa_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFr
     )
 
 
-def _generate(prompts: DataFrame, out: str, generator: Callable) -> DataFrame:
+BATCH_SIZE = 32
+
+
+def _generate(
+    prompts: DataFrame, out: str, generator: Callable, batch_size: int = BATCH_SIZE
+) -> DataFrame:
     """Run an own generator, a function from a list of prompts to a list of dicts with
-    `text`, `input_tokens` and `output_tokens`, batch by batch on the executors."""
+    `text`, `input_tokens` and `output_tokens`, on the executors, `batch_size` prompts a call."""
     names = prompts.columns
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            for at in range(0, len(frame), batch_size):
+                yield frame.iloc[at : at + batch_size]
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in parts(frames):
             made = pd.DataFrame(generator(list(frame["prompt"])), index=frame.index)
             texts = made["text"].fillna("").str.strip()
             if (texts == "").any():
@@ -128,17 +138,21 @@ def _fill(prompts: DataFrame, out: str, text: Column) -> DataFrame:
     )
 
 
-def explain(prompts: DataFrame, generator: Callable | None = None) -> DataFrame:
+def explain(
+    prompts: DataFrame, generator: Callable | None = None, batch_size: int = BATCH_SIZE
+) -> DataFrame:
     """Reason and token counts per prompt; an empty text is an error.
 
     Default: a sentence built from the row. Tokens are words then.
     """
     if generator is not None:
-        return _generate(prompts, "reason", generator)
+        return _generate(prompts, "reason", generator, batch_size)
     return _fill(prompts, "reason", default_explanation())
 
 
-def answer(prompts: DataFrame, generator: Callable | None = None) -> DataFrame:
+def answer(
+    prompts: DataFrame, generator: Callable | None = None, batch_size: int = BATCH_SIZE
+) -> DataFrame:
     """Answer and token counts per question; one without evidence gets a fixed answer, free."""
     none = F.lit(settings.NO_EVIDENCE_ANSWER)
     if generator is None:
@@ -158,7 +172,8 @@ def answer(prompts: DataFrame, generator: Callable | None = None) -> DataFrame:
             "output_tokens": F.lit(0).cast("bigint"),
         }
     )
-    return _generate(prompts.filter("prompt is not null"), "answer", generator).unionByName(free)
+    asked = prompts.filter("prompt is not null")
+    return _generate(asked, "answer", generator, batch_size).unionByName(free)
 
 
 def usage_cost(
@@ -166,12 +181,23 @@ def usage_cost(
     input_price: float = settings.INPUT_PRICE_PER_MILLION,
     output_price: float = settings.OUTPUT_PRICE_PER_MILLION,
 ) -> DataFrame:
-    """Calls, tokens and cost per model; prices are per million tokens."""
+    """Calls, tokens and cost per model; prices are per million tokens.
+
+    Without any call there is one row of zeros for the model `default`.
+    """
     sums = calls.groupBy("model").agg(
         F.count(F.lit(1)).alias("llm_calls"),
         F.coalesce(F.sum("input_tokens"), F.lit(0)).alias("input_tokens"),
         F.coalesce(F.sum("output_tokens"), F.lit(0)).alias("output_tokens"),
     )
+    zero = F.lit(0).cast("bigint")
+    none = calls.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
+    sums = sums.unionByName(
+        none.select(
+            F.lit(settings.DEFAULT_MODEL).alias("model"),
+            *[zero.alias(c) for c in ("llm_calls", "input_tokens", "output_tokens")],
+        )
+    )
     cost_in = F.col("input_tokens") / 1_000_000 * input_price
     cost_out = F.col("output_tokens") / 1_000_000 * output_price
     return sums.withColumns(

@@ -154,7 +154,7 @@ def retrieve_evidence(
     queries = stage(retrieval_queries(route_weeks), "queries")
     index = lexical_index(docs)
     vectors = stage(encode(docs, "document_id", encoder=encoder), "vectors")
-    asked = encode(queries, "query_id", encoder=encoder)
+    asked = stage(encode(queries, "query_id", encoder=encoder), "query_vectors")
     hits = hybrid_search(queries, asked, index, vectors, k, candidate_k)
     ranked = rerank(hits, queries, docs, index, k, scorer)
     found = ranked.join(docs.drop("text"), "document_id").join(

@@ -104,10 +104,10 @@ def bm25_search(
     """`k` best documents per query: (query_id, document_id, score, rank).
 
     A term counts as often as it occurs in the query. Only terms that occur in some query
-    leave the index. With `pad`, a query with fewer than `k` matching documents is filled up
-    with documents of score 0 in id order; those are among the first `k` ids.
+    leave the index. With `pad`, documents without a common term take part with score 0, in
+    id order; they come before documents with a negative score.
     """
-    terms = query_terms(queries, index.tokens)
+    terms = stage(query_terms(queries, index.tokens), "query_terms")
     wanted = okapi_idf(index).join(terms.select("term").distinct(), "term", "left_semi")
     wanted = stage(wanted, "query_vocabulary")
     length_norm = (
@@ -125,18 +125,42 @@ def bm25_search(
     hits = sparse_top_k(asked, held, index.n_postings, k)
     if not pad:
         return hits
-    spare = index.documents.select("document_id").orderBy("document_id").limit(k)
-    spare = spare.agg(F.collect_list("document_id").alias("ids")).scalar()
-    blanks = (
-        terms.select("query_id")
-        .distinct()
-        .withColumn("document_id", F.explode(spare))
-        .join(hits, ["query_id", "document_id"], "left_anti")
-        .withColumn("score", F.lit(0.0))
-    )
+    hits = stage(hits, "hits")
+    blanks = _unmatched(terms, hits, index, k).withColumn("score", F.lit(0.0))
     return best_hits(hits.drop("rank").unionByName(blanks), "score", k)
 
 
+def _unmatched(terms: DataFrame, hits: DataFrame, index: LexicalIndex, k: int) -> DataFrame:
+    """The `k` smallest ids without a common term, for queries with fewer than `k` positive hits.
+
+    Looks at the first ids, and at twice as many for queries that share a term with too many of
+    those, until each has `k` or all ids were looked at.
+    """
+    full = hits.filter("score > 0").groupBy("query_id").count().filter(F.col("count") >= k)
+    open_ = terms.select("query_id").distinct().join(full, "query_id", "left_anti")
+    n = index.documents.count()
+    found, width = None, 4 * k
+    while True:
+        open_ = stage(open_, "queries_to_pad")
+        first = index.documents.select("document_id").orderBy("document_id").limit(width)
+        near = index.postings.join(first, "document_id", "left_semi")
+        matched = (
+            terms.join(open_, "query_id", "left_semi").join(near, "term").select("query_id", "document_id")
+        )
+        ids = first.agg(F.array_sort(F.collect_list("document_id")).alias("ids"))
+        taken = matched.groupBy("query_id").agg(F.collect_set("document_id").alias("taken"))
+        free = F.array_except("ids", F.coalesce("taken", F.array().cast(ids.schema["ids"].dataType)))
+        lists = open_.join(taken, "query_id", "left").crossJoin(F.broadcast(ids))
+        lists = stage(lists.select("query_id", F.slice(free, 1, k).alias("ids")), "ids_to_pad")
+        done = lists if width >= n else lists.filter(F.size("ids") >= k)
+        rows = done.select("query_id", F.explode("ids").alias("document_id"))
+        found = rows if found is None else found.unionByName(rows)
+        open_ = lists.join(done, "query_id", "left_anti").select("query_id")
+        if width >= n or open_.isEmpty():
+            return found
+        width *= 2
+
+
 def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
@@ -182,7 +206,8 @@ def tfidf_search(queries: DataFrame, index: LexicalIndex, k: int = QUESTION_TOP_
         _unit(held, index.weights, "document_id"),
         index.n_postings,
         k,
-    ).filter("score > 0")
+        positive=True,
+    )
 
 
 def _unit(terms: DataFrame, all_terms: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from costwatch.operators.corpus import note_docs, qa_corpus
 from costwatch.operators.explain import answer, explain, ground_prompts, qa_prompts
@@ -14,7 +15,7 @@ from costwatch.operators.lexical import tfidf_index, tfidf_search
 from costwatch.operators.metrics import candidates, score_route_weeks, weekly_metrics
 from costwatch.operators.prepare import prepare_shipments
 from costwatch.operators.verdict import assign_verdict, shape_results, with_explanations
-from costwatch.settings import QUESTION_TOP_K, THRESHOLD_PCT
+from costwatch.settings import DEFAULT_MODEL, QUESTION_TOP_K, THRESHOLD_PCT
 from costwatch.staging import stage
 
 
@@ -45,7 +46,10 @@ def assess(
 ) -> Assessment:
     """Score all route-weeks, look for evidence on the candidates, decide and explain.
 
-    `calls` has one row per explanation with its token counts.
+    `calls` has one row per explanation with its model and token counts, as `usage_cost`
+    takes it. Four jobs run before this returns: the weekly table, the scored table, the notes
+    (with `post` also queries, vectors and index) and the verdicts are written; with a generator
+    the explanations too.
     """
     scored = scored_table(shipments, threshold_pct)
     evidence = retrieve_evidence(candidates(scored), notes, strategy, **retrieval)
@@ -54,7 +58,8 @@ def assess(
     if generator is not None:  # one call per explanation: keep its text, never ask twice
         explained = stage(explained, "explanations")
         verdicts = with_explanations(verdicts, explained)
-    calls = explained.select("route", "week_of", "input_tokens", "output_tokens")
+    model = F.lit(getattr(generator, "__name__", None) or DEFAULT_MODEL).alias("model")
+    calls = explained.select("route", "week_of", model, "input_tokens", "output_tokens")
     return Assessment(verdicts, shape_results(verdicts), calls)
 
 

@@ -209,7 +209,7 @@ GROUP BY query_id, document_id"""
     if pad:
         out["padded"] = f"""SELECT * FROM bm25 UNION ALL
 SELECT query_id, document_id, 0.0 FROM (SELECT DISTINCT query_id FROM qterms),
-       (SELECT document_id FROM {docs} ORDER BY document_id LIMIT {k}) d
+       (SELECT document_id FROM {docs}) d
 WHERE NOT EXISTS (SELECT 1 FROM bm25 b WHERE b.query_id = qterms.query_id AND b.document_id = d.document_id)"""
         out["padded"] = out["padded"].replace(
             "(SELECT DISTINCT query_id FROM qterms)", "(SELECT DISTINCT query_id FROM qterms) qterms"
@@ -479,8 +479,7 @@ PASSAGE_HYBRID = (
     dense_ctes("passage_vectors", "document_vectors", settings.CANDIDATE_K),
     HYBRID,
 )
-_CONTAINED = f"""SELECT query_id, document_id FROM passages p JOIN corpus d ON contains(d.text, p.text)
-WHERE len({tokenized("p.text")}) >= 3"""
+_CONTAINED = "SELECT query_id, document_id FROM passages p JOIN corpus d ON contains(d.text, p.text)"
 _PROMPT_LINES = " || chr(10) || ".join
 
 
@@ -827,7 +826,34 @@ FROM (SELECT query_id, bool_or(l.document_id IS NOT NULL) AS hit
             ["shipments", "notes"],
             """SELECT 'shipments' AS source, count(*) AS n_rows, count(DISTINCT shipment_id) AS n_ids,
        round(CAST(sum(freight_cost_inr) AS DOUBLE), 6) AS total, max(shipment_date) AS last_date FROM shipments
-UNION ALL SELECT 'notes', count(*), count(DISTINCT note_id), CAST(sum(length(note)) AS DOUBLE), max(date) FROM notes""",
+UNION ALL SELECT 'notes', count(*), count(DISTINCT note_id), CAST(sum(length(note)) AS DOUBLE), max(date) FROM notes
+UNION ALL SELECT 'notes with their text', count(*), count(DISTINCT note_id), 0.0, max(date) FROM notes""",
+        ),
+        "roundtrip_reasons": build(
+            ["notes"],
+            """SELECT note_id AS route, date AS week_of,
+       md5(' a "quoted", line' || chr(10) || note || chr(10) || 'last line ') AS digest FROM notes""",
+        ),
+        "roundtrip_indented": _USAGE,
+        "roundtrip_evaluation": label_summary,
+        "run_usage": on_results(_run_usage()),
+        "bm25_padded": build(
+            [],
+            f"SELECT query_id, document_id, rank, {rounded('score')} FROM lexical",
+            {
+                "pages_of_text": "SELECT item_id AS document_id, text FROM benchmark",
+                "questions": "SELECT conv_id * 1000 + turn AS query_id, text FROM conversations WHERE role = 'user'",
+            },
+            lexical_ctes("pages_of_text", "questions", 5, pad=True),
+        ),
+        "contained_words": build(
+            [],
+            """SELECT query_id, document_id FROM (
+  SELECT query_id * 2 AS query_id, string_split(text, ' ')[1] AS text FROM passages UNION ALL
+  SELECT query_id * 2 + 1, array_to_string(string_split(text, ' ')[2:3], ' ') FROM passages) p
+JOIN corpus d ON contains(d.text, p.text)""",
+            CORPUS,
+            PASSAGES,
         ),
         "roundtrip_results": on_results(f"SELECT {_TYPED_RESULTS} FROM results"),
         "exported_view": on_results(
@@ -845,6 +871,23 @@ UNION ALL SELECT 'notes', count(*), count(DISTINCT note_id), CAST(sum(length(not
     }
 
 
+def _run_usage() -> str:
+    cost = lambda tokens, price: f"{tokens} / 1e6 * {price}"
+    one = cost("input_tokens", settings.INPUT_PRICE_PER_MILLION)
+    two = cost("output_tokens", settings.OUTPUT_PRICE_PER_MILLION)
+    return rf"""
+SELECT '{settings.DEFAULT_MODEL}' AS model, llm_calls, input_tokens, output_tokens,
+       input_tokens + output_tokens AS total_tokens,
+       CAST({settings.INPUT_PRICE_PER_MILLION} AS DOUBLE) AS input_price_per_million,
+       CAST({settings.OUTPUT_PRICE_PER_MILLION} AS DOUBLE) AS output_price_per_million,
+       round({one}, 8) AS estimated_input_cost, round({two}, 8) AS estimated_output_cost,
+       round({one} + {two}, 8) AS estimated_total_cost
+FROM (SELECT count(*) AS llm_calls,
+             CAST(coalesce(sum(len(regexp_extract_all(prompt, '\S+'))), 0) AS BIGINT) AS input_tokens,
+             CAST(coalesce(sum(len(regexp_extract_all(reason, '\S+'))), 0) AS BIGINT) AS output_tokens
+      FROM ({_grounded()}))"""
+
+
 def _answers_sql() -> str:
     from costwatch.operators.explain import ANSWER_RULES
 

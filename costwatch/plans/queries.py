@@ -528,12 +528,12 @@ def usage_cost(spark, sf_dir):
 def roundtrip_csv(spark, sf_dir):
     """Shipments and notes written as CSV and read back with all checks, then compared."""
     shipments, notes = mapping.shipments(spark, sf_dir), mapping.notes(spark, sf_dir)
-    one_line = notes.withColumn("note", F.translate("note", "\r\n", "  "))
     paths = [fresh_path(spark, n) for n in ("shipments_csv", "notes_csv")]
-    shipments.write.csv(paths[0], header=True, escape='"')
-    one_line.write.csv(paths[1], header=True, escape='"')
+    shipments.write.csv(paths[0], **files.CSV_WRITE)
+    notes.write.csv(paths[1], **files.CSV_WRITE)
     read = files.read_shipments(spark, paths[0])
     back = files.read_notes(spark, paths[1])
+    same = back.join(notes.select("note_id", F.col("note").alias("_was")), "note_id")
     return rounded(
         read.agg(
             F.lit("shipments").alias("source"),
@@ -549,6 +549,14 @@ def roundtrip_csv(spark, sf_dir):
                 F.sum(F.char_length("note")).cast("double").alias("total"),
                 F.max("date").alias("last_date"),
             )
+        ).unionByName(
+            same.agg(
+                F.lit("notes with their text").alias("source"),
+                F.count_if(F.col("note") == F.col("_was")).alias("n_rows"),
+                F.count_distinct("note_id").alias("n_ids"),
+                F.lit(0.0).alias("total"),
+                F.max("date").alias("last_date"),
+            )
         )
     )
 
@@ -581,6 +589,74 @@ def roundtrip_json(spark, sf_dir):
     return files.read_json_report(spark, path, cost.schema)
 
 
+@query
+def roundtrip_reasons(spark, sf_dir):
+    """Results whose reasons hold line breaks, quotes and blanks, written and read back."""
+    notes = mapping.notes(spark, sf_dir)
+    results = notes.select(
+        F.col("note_id").alias("route"),
+        F.col("date").alias("week_of"),
+        F.lit(1.5).alias("cost_per_tonne_km"),
+        F.lit("N/A").alias("vs_own_history"),
+        F.lit("N/A").alias("vs_similar_routes"),
+        F.lit(settings.JUSTIFIED).alias("flagged"),
+        F.col("note_id").alias("matched_note_id"),
+        F.concat(F.lit(' a "quoted", line\n'), "note", F.lit("\nlast line ")).alias("reason"),
+    )
+    path = fresh_path(spark, "reasons_csv")
+    files.write_results(results, path)
+    return files.read_results(spark, path).select("route", "week_of", F.md5("reason").alias("digest"))
+
+
+@query
+def roundtrip_indented(spark, sf_dir):
+    """Usage of all models as one indented report, read back."""
+    cost = rounded(explain.usage_cost(mapping.calls(spark, sf_dir)), 8)
+    path = fresh_path(spark, "indented_json")
+    rows = F.array_join(F.collect_list(F.to_json(F.struct("*"), {"pretty": "true"})), ",\n")
+    cost.agg(F.concat(F.lit("[\n"), rows, F.lit("\n]")).alias("value")).write.text(path)
+    return files.read_json_report(spark, path, cost.schema, multi_line=True)
+
+
+@query
+def roundtrip_evaluation(spark, sf_dir):
+    """The evaluation summary written as a JSON report and read back."""
+    cases = evaluate.evaluate_cases(mapping.labeled(spark, sf_dir), mapping.notes(spark, sf_dir))
+    summary = evaluate.evaluation_summary(cases)
+    path = fresh_path(spark, "evaluation_json")
+    files.write_json_report(summary, path)
+    return files.read_json_report(spark, path, summary.schema)
+
+
+@query
+def run_usage(spark, sf_dir):
+    """Usage of an assessment's own explanations."""
+    return rounded(explain.usage_cost(_assessment(spark, sf_dir).calls), 8)
+
+
+@query
+def bm25_padded(spark, sf_dir):
+    """User turns against all passages, which share their words: most scores are negative."""
+    docs = mapping.passages(spark, sf_dir).withColumnRenamed("query_id", "document_id")
+    return ranked(
+        lexical.bm25_search(
+            mapping.questions(spark, sf_dir), lexical.lexical_index(docs), 5, pad=True
+        )
+    )
+
+
+@query
+def contained_words(spark, sf_dir):
+    """First words of the passages, alone and in pairs, in the documents that hold them."""
+    passages, docs = mapping.passages(spark, sf_dir), mapping.corpus(spark, sf_dir)
+    words = F.split("text", " ")
+    parts = F.array(F.get(words, F.lit(0)), F.concat_ws(" ", F.slice(words, 2, 2)))
+    short = passages.select("query_id", F.posexplode(parts).alias("n", "text")).select(
+        (F.col("query_id") * 2 + F.col("n")).alias("query_id"), "text"
+    )
+    return evaluate.contained_passages(short, docs, lexical.lexical_index(docs))
+
+
 @query
 def exported_view(spark, sf_dir):
     path = fresh_path(spark, "export_csv")

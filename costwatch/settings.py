@@ -170,3 +170,5 @@ NEGATIVE_PATTERNS = [
     r"affected routes are not part of this dataset",
     r"compliance costs were absorbed",
 ]
+
+DEFAULT_MODEL = "default"  # usage rows of runs without a generator of their own

@@ -21,14 +21,18 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: `spark.checkpoint.dir` of the session.
 
-    Where it is unset, a local session gets a temporary folder of its own (one per
-    application) and a cluster session the warehouse folder, which its executors share.
+    Where it is unset, a session of one machine gets a temporary folder of its own (one per
+    application). A cluster must name a folder that its executors share; one on local disks is
+    refused, as each executor would see only its own part of a table.
     """
+    one_machine = spark.sparkContext.master.startswith("local")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if configured.startswith("file:") and not one_machine:
+            raise ValueError(f"spark.checkpoint.dir is {configured}, which executors do not share")
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+    if not one_machine:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="costwatch-")
@@ -39,6 +43,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/costwatch/{uuid.uuid4().hex}/{name}"
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete everything staged below the shared folder; for the owner of the folder, after use."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/costwatch")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Deal the rows of a file scan over the cores where it has fewer partitions than that.
 

@@ -62,7 +62,21 @@ def test_results_and_reports(spark, tmp_path):
     assert absent.count() == 0
     broken = tmp_path / "broken.json"
     broken.write_text("{nothing\n")
-    assert files.read_json_report(spark, str(broken), summary.schema).count() == 0
+    with pytest.raises(ValueError, match="1 records"):
+        files.read_json_report(spark, str(broken), summary.schema)
+    indented = tmp_path / "indented.json"
+    indented.write_text('{\n  "verdict": "No",\n  "n": 3\n}\n')
+    read = files.read_json_report(spark, str(indented), "verdict string, n long", multi_line=True)
+    assert [tuple(r) for r in read.collect()] == [("No", 3)]
+    with pytest.raises(ValueError, match="multi_line"):
+        files.read_json_report(spark, str(indented), "verdict string, n long")
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    path = tmp_path / "notes.csv"
+    path.write_text('note_id,date,applies_to,note\nN1,06.01.2025,A-B,"one\nno surcharge"\n')
+    row = files.read_notes(spark, str(path), date_formats=["dd.MM.yyyy"]).first()
+    assert row["note"] == "one\nno surcharge" and row["date"].isoformat() == "2025-01-06"
 
 
 def test_stage_keeps_rows_and_types(spark):

@@ -173,17 +173,37 @@ def test_rerank(spark, docs, queries):
 
 def test_contained_passages_and_recall(spark, docs):
     passages = spark.createDataFrame(
-        [(1, TEXTS[7][4:]), (2, "copy of one text"), (3, "copy of two text"), (4, "w1")],
+        [(1, TEXTS[7][4:]), (2, "copy of one text"), (3, "copy of two text"), (4, "w1"), (5, "w1 w")],
         "query_id bigint, text string",
     )
     index = lexical.lexical_index(docs)
     truth = evaluate.contained_passages(passages, docs, index)
     got = {(r["query_id"], r["document_id"]) for r in truth.collect()}
     expected = {
-        (q, i) for q, t in ((1, TEXTS[7][4:]), (2, "copy of one text")) for i, d in DOCS if t in d
+        (q, i)
+        for q, t in ((1, TEXTS[7][4:]), (2, "copy of one text"), (4, "w1"), (5, "w1 w"))
+        for i, d in DOCS
+        if t in d
     }
     assert got == expected
     hits = lexical.bm25_search(passages, index, 3)
     assert evaluate.retrieval_recall(hits, truth, 3).first().asDict() == {
-        "queries": 2, "found": 2, "recall": 1.0,
+        "queries": 4, "found": 4, "recall": 1.0,
     }
+
+
+def test_padding_with_negative_scores(spark):
+    """Document 6 shares no word: score 0 comes before the negative ones of the others."""
+    texts = ["a b", "a c", "a b c", "a b d", "a c d", "z y", "a b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "document_id long, text string")
+    queries = spark.createDataFrame([(1, "a"), (2, "nothing"), (3, "z")], "query_id long, text string")
+    index = lexical.lexical_index(docs)
+    hits = lexical.bm25_search(queries, index, 3, pad=True).orderBy("query_id", "rank").collect()
+    plain = {
+        (r["query_id"], r["document_id"]): r["score"]
+        for r in lexical.bm25_search(queries, index, 7).collect()
+    }
+    for q in (1, 2, 3):
+        want = sorted((-plain.get((q, d), 0.0), d) for d in range(1, 8))[:3]
+        got = [(-r["score"], r["document_id"]) for r in hits if r["query_id"] == q]
+        assert got == want
