@@ -467,10 +467,9 @@ GROUP BY query_id, document_id""",
 
 CORPUS = {"corpus": "SELECT doc_id AS document_id, text FROM documents"}
 PASSAGES = {"passages": "SELECT item_id AS query_id, text FROM benchmark"}
-VECTORS = {
-    "passage_vectors": "SELECT vec_id AS query_id, embedding FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark)",
-    "document_vectors": "SELECT vec_id AS document_id, embedding FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)",
-}
+VECTORS = encode_ctes("passages", "query_id", "passage_vectors") | encode_ctes(
+    "corpus", "document_id", "document_vectors"
+)
 PASSAGE_HYBRID = (
     CORPUS,
     PASSAGES,
@@ -917,10 +916,11 @@ FROM (SELECT q.query_id, any_value(q.text) AS question, count(h.document_id) AS
 def _qa_prompts_sql() -> str:
     from costwatch.operators.explain import ANSWER_RULES
 
+    gap = "chr(10) || chr(10)"
     return f"""
 SELECT q.query_id, count(h.document_id) AS n_evidence, CAST(min_by(h.document_id, h.rank) AS VARCHAR) AS best_document,
-       CASE WHEN count(h.document_id) > 0 THEN
-         CAST({len(ANSWER_RULES)} + 2 + length('QUESTION ') + any_value(length(q.text)) + 2
-         + sum(length('EVIDENCE ' || CAST(rank AS VARCHAR)) + 1 + length(d.text)) + 2 * (count(*) - 1) AS BIGINT) END AS prompt_chars
+       CASE WHEN count(h.document_id) > 0 THEN md5(
+         {quote(ANSWER_RULES)} || {gap} || 'QUESTION ' || any_value(q.text) || {gap}
+         || string_agg('EVIDENCE ' || CAST(rank AS VARCHAR) || chr(10) || d.text, {gap} ORDER BY rank)) END AS prompt_md5
 FROM questions q LEFT JOIN question_hits h ON h.query_id = q.query_id
 LEFT JOIN corpus d ON d.document_id = h.document_id GROUP BY q.query_id"""

@@ -403,7 +403,7 @@ def qa_prompts(spark, sf_dir):
         "query_id",
         "n_evidence",
         "best_document",
-        F.char_length("prompt").cast("bigint").alias("prompt_chars"),
+        F.md5("prompt").alias("prompt_md5"),
     )
 
 
@@ -441,18 +441,14 @@ def dense_topk(spark, sf_dir):
     )
 
 
-def _passage_vectors(spark, sf_dir):
-    passages = mapping.passages(spark, sf_dir).select("query_id")
-    return mapping.vectors(spark, sf_dir, "query_id").join(passages, "query_id", "left_semi")
-
-
 def _hybrid_inputs(spark, sf_dir):
-    docs, vectors = mapping.corpus(spark, sf_dir), mapping.vectors(spark, sf_dir, "document_id")
+    """Passages and their vectors, index and vectors of all documents."""
+    docs, passages = mapping.corpus(spark, sf_dir), mapping.passages(spark, sf_dir)
     return (
-        mapping.passages(spark, sf_dir),
-        _passage_vectors(spark, sf_dir),
+        passages,
+        stage(dense.encode(passages, "query_id"), "passage_vectors"),
         lexical.lexical_index(docs),
-        stage(vectors.join(docs.select("document_id"), "document_id", "left_semi"), "vectors"),
+        stage(dense.encode(docs, "document_id"), "vectors"),
     )
 
 
