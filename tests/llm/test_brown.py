@@ -84,7 +84,7 @@ def test_scores_by_hand(spark):
     assert np.allclose((10**model.transitions) @ mass, 1)
 
     # Words outside the dictionary are joined; the result is the same.
-    small = brown.scored(frame, brown.training(), dictionary=7).collect()
+    small = brown.scored(frame, brown.training(), dictionary=40).collect()
     key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6))
     assert sorted(map(key, small)) == sorted(map(key, out))
 

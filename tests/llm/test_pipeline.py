@@ -21,7 +21,7 @@ def corpus(spark, tmp_path_factory):
         kinds[rows[-1][0]] = kind
 
     for _ in range(150):
-        add(text(rng, rng.randint(30, 70)), "clean")
+        add(text(rng, rng.randint(60, 90)), "clean")
     for _ in range(60):
         add(text(rng, rng.randint(30, 70)).replace(" ", "### ").upper(), "junk")
     for row in rows[:10]:
