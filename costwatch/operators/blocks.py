@@ -9,7 +9,7 @@ Spark splits, shuffles and merges the work; numpy adds up the scores inside a ta
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -148,11 +148,12 @@ def sparse_top_k(
 def _nearest(docs: np.ndarray, vectors: np.ndarray, asked: np.ndarray, k: int) -> tuple:
     """Per query vector its `k` best of a block (ids sorted) and their scores."""
     doc_ids, scores = [], []
-    for vector in asked:  # one row of scores at a time keeps the task small
-        row = np.round(vectors @ vector, SCORE_DECIMALS)
-        best = _take_best(row, k, -np.inf)
-        doc_ids.append(docs[best])
-        scores.append(row[best])
+    step = max(1, SCORE_CELLS // max(len(docs), 1))
+    for low in range(0, len(asked), step):  # a batch of queries, bounded in cells
+        for row in np.round(asked[low : low + step] @ vectors.T, SCORE_DECIMALS):
+            best = _take_best(row, k, -np.inf)
+            doc_ids.append(docs[best])
+            scores.append(row[best])
     return doc_ids, scores
 
 
@@ -161,14 +162,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def dense_top_k(queries: DataFrame, corpus: DataFrame, corpus_rows: int, k: int) -> DataFrame:
-    """Best documents by inner product of `embedding`s, which are unit vectors.
-
-    Up to one block of queries is sent to the executors and the corpus is scanned in place,
-    without a shuffle of vectors; more queries meet the corpus block by block.
-    """
-    few = queries.select("query_id", "embedding").limit(QUERY_BLOCK + 1).toPandas()
-    if len(few) <= QUERY_BLOCK:
-        return _scan_top_k(few, queries, corpus, k)
+    """Best documents by inner product of `embedding`s, which are unit vectors, block by block."""
 
     def score(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if q.empty or d.empty:
@@ -179,30 +173,3 @@ def dense_top_k(queries: DataFrame, corpus: DataFrame, corpus_rows: int, k: int)
 
     blocks = block_count(corpus, corpus_rows, VECTOR_BLOCK, MIN_VECTOR_BLOCK)
     return _pairwise_top_k(queries, corpus, blocks, k, score)
-
-
-def _scan_top_k(few: pd.DataFrame, queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """Best of each partition of the corpus, then of all; `few` holds all queries."""
-    schema = _hit_schema(queries, corpus)
-    if few.empty:
-        return best_hits(corpus.sparkSession.createDataFrame([], schema), "score", k)
-    sent = corpus.sparkSession.sparkContext.broadcast(
-        (list(few["query_id"]), _matrix(few["embedding"]))
-    )
-
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, asked = sent.value
-        kept = [(np.empty(0), np.empty(0))] * len(query_ids)
-        for frame in frames:
-            frame = frame.sort_values("document_id")
-            docs, vectors = frame["document_id"].to_numpy(), _matrix(frame["embedding"])
-            for i, (ids, scores) in enumerate(zip(*_nearest(docs, vectors, asked, k))):
-                if len(kept[i][0]):
-                    ids, scores = (np.concatenate(p) for p in zip(kept[i], (ids, scores)))
-                    best = np.lexsort((ids, -scores))[:k]
-                    ids, scores = ids[best], scores[best]
-                kept[i] = (ids, scores)
-        yield _frame(query_ids, [ids for ids, _ in kept], [scores for _, scores in kept])
-
-    hits = corpus.select("document_id", "embedding").mapInPandas(scan, schema)
-    return best_hits(hits, "score", k)

@@ -97,10 +97,13 @@ def report_view(results: DataFrame) -> DataFrame:
 
 def lookup_notes(results: DataFrame, notes: DataFrame) -> DataFrame:
     """Results with the note they name (null where none is named or known)."""
-    known = one_per_note_id(
-        with_text_flags(notes.withColumn("note_id", strip(F.col("note_id")))), ["date"]
-    ).withColumnsRenamed({"note_id": "matched_id", "date": "note_date"})
     named = results.withColumn("matched_id", clean_note_id(F.col("matched_note_id")))
+    # Only notes that are named have their texts judged.
+    ids = named.select(F.col("matched_id").alias("note_id")).distinct()
+    asked = notes.withColumn("note_id", strip(F.col("note_id"))).join(ids, "note_id", "left_semi")
+    known = one_per_note_id(with_text_flags(asked), ["date"]).withColumnsRenamed(
+        {"note_id": "matched_id", "date": "note_date"}
+    )
     return named.join(known, "matched_id", "left")
 
 
