@@ -12,7 +12,7 @@ from costwatch.llm.words import word_slices
 
 
 def tokens(t):
-    return (t or "").lower().encode().split()
+    return (t or "").encode().lower().split()
 
 
 def trained(i):

@@ -8,7 +8,7 @@ from costwatch.llm import neardup
 
 
 def shingles(t, n):
-    w = (t or "").lower().encode().split()
+    w = (t or "").encode().lower().split()
     return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
