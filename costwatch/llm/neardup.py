@@ -5,14 +5,14 @@ sets form a class with one node, so copies never meet one another. Each set draw
 MinHash values; nodes that agree on a whole band are candidates. All samples of a set are folded
 into an odd sketch, a bitmap in which each (place, value) flips one bit: the bits that differ
 between two sketches estimate how many samples differ, precisely so at high similarity. Pairs
-that the sketch leaves far below the threshold are dropped (`SLACK` below it, eight standard
+that the sketch leaves far below the threshold are dropped (`SLACK` below it, five standard
 deviations of the estimate); the others are proved on their full sets.
 
 In a bucket of a band every member is first compared with one centre, in several rounds: after
 each, proved links are contracted to components, and the next centre is compared only with
 members of other components. What is then left in a bucket, members of components that are not
-linked yet, is compared pair by pair, unless their distances to the bucket's first centre differ
-so much that the triangle inequality rules a link out. So a group of near copies costs a few
+linked yet, is compared pair by pair, unless their sizes or sketches or, by the triangle inequality,
+their distances to the bucket's first centre rule a link out. So a group of near copies costs a few
 comparisons per member and no link between different components is left out.
 
 Null and empty texts and texts without words have an empty set and are linked with nothing.
@@ -37,7 +37,7 @@ from costwatch.staging import stage
 BANDS, ROWS = 48, 6
 SKETCH_BITS = 512
 THRESHOLD = 80  # percent
-SLACK = 0.2
+SLACK = 0.12
 STAR_ROUNDS = 3
 
 _SAMPLES = BANDS * ROWS
@@ -151,6 +151,17 @@ def _ordered(a: Column | str, b: Column | str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _likely(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column) -> Column:
+    """Whether sizes and sketches of two sets leave room for the threshold."""
+    bits = F.aggregate(
+        F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, x: total + x.cast("int"),
+    )
+    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * THRESHOLD
+    return sizes & (bits <= most_differing_bits(THRESHOLD / 100 - SLACK))
+
+
 class _Prover:
     """Turns candidate pairs of nodes into links; sketches and sets of all candidates are written once."""
 
@@ -179,16 +190,10 @@ class _Prover:
         """Pairs that pass the sketch, with the sizes of intersection and union of their sets."""
         left = self.info.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
         right = self.info.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-        bits = F.aggregate(
-            F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-            F.lit(0),
-            lambda total, x: total + x.cast("int"),
-        )
         likely = (
             pairs.join(left, "a")
             .join(right, "b")
-            .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * THRESHOLD)
-            .filter(bits <= most_differing_bits(THRESHOLD / 100 - SLACK))
+            .filter(_likely(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b")))
             .select("a", "b", "n_a", "n_b")
         )
         likely = stage(likely, f"{name}_likely")
@@ -281,17 +286,19 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
     ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
     members = members.select("key", "node", "pivot", *ends).join(away, ["a", "b"], "left")
     members = members.select("key", "node", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
+    facts = ("root", "node", "d", "n", "sketch")
+    members = members.join(prover.info.select("node", "n", "sketch"), "node")
     tried = pairs
     for turn in range(1, STAR_ROUNDS + 1):
         # Buckets that still hold several components, with a centre each.
-        placed = _by_root(members.select("key", "node", "d"), roots)
+        placed = _by_root(members.select("key", *facts[1:]), roots)
         pick = F.max if turn % 2 else F.min
         open_buckets = (
             placed.groupBy("key")
             .agg(
                 F.min("root").alias("low"),
                 F.max("root").alias("high"),
-                pick(F.struct("root", "node", "d")).alias("centre"),
+                pick(F.struct(*facts)).alias("centre"),
             )
             .filter("low != high")
             .select("key", "centre")
@@ -300,15 +307,17 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
         if members.isEmpty():
             return roots
         if turn < STAR_ROUNDS:
-            near = _near(F.col("d"), F.col("centre.d")) & (F.col("root") != F.col("centre.root"))
+            near = (F.col("root") != F.col("centre.root")) & _near(F.col("d"), F.col("centre.d"))
+            near = near & _likely(*[F.col(c) for c in ("n", "centre.n", "sketch", "centre.sketch")])
             pairs = members.filter(near).select(*_ordered(F.col("node"), F.col("centre.node")))
         else:
             one, two = (
-                members.select("key", *[F.col(c).alias(c + end) for c in ("node", "root", "d")])
+                members.select("key", *[F.col(c).alias(c + end) for c in facts])
                 for end in ("_x", "_y")
             )
             apart = (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y"))
             near = apart & _near(F.col("d_x"), F.col("d_y"))
+            near = near & _likely(*[F.col(c) for c in ("n_x", "n_y", "sketch_x", "sketch_y")])
             pairs = one.join(two, "key").filter(near).select(*_ordered("node_x", "node_y"))
         pairs = stage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"neardup_pairs_{turn}")
         if not pairs.isEmpty():
