@@ -15,8 +15,8 @@ grows; emission counts stay exact for every word.
 Emission takes the discount d = n1 / (n1 + 2 n2) off every word count; what it frees in a class
 is the probability of an unknown word there (split by class of its bucket, so that all
 probabilities add up to at most 1). Transitions are smoothed towards the class frequencies.
-Scoring walks a text once; words of the heaviest `DICTIONARY` are looked up in a broadcast table
-of that size, all others are joined with the word counts by hash.
+Scoring walks a text once; up to `DICTIONARY` of the heaviest words are looked up in a broadcast
+table, all others are joined with the word counts by hash.
 
 Words are known by 64-bit hashes. Null and empty texts have only the end token. Without training
 rows every word is unknown. Equal texts get equal scores, equal rows a row each. An empty table
@@ -301,10 +301,27 @@ def train(documents: DataFrame, learn: Column) -> tuple[BrownModel, DataFrame]:
     return model, counts
 
 
+def heaviest(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, `most` of them at the outside: those above a bound on n.
+
+    The bound comes from counts of words by the size of n, so no task sends a list of its own.
+    """
+    size = F.floor(F.log2("n") * 16).cast("int")
+    bound, total = 0, 0
+    sizes = counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("words")).collect()
+    for row in sorted(sizes, reverse=True):  # 16 rows for each doubling of n
+        total += row["words"]
+        bound = row["size"]
+        if total > most:
+            bound += 1
+            break
+    return counts.filter(size >= bound)
+
+
 def scored(documents: DataFrame, learn: Column, dictionary: int = DICTIONARY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each whole text."""
     model, counts = train(documents, learn)
-    heavy = counts.orderBy(F.desc("n"), "word").limit(dictionary).toPandas()
+    heavy = heaviest(counts, dictionary).toPandas()
     order = np.argsort(heavy["word"].to_numpy(np.int64))
     shared = documents.sparkSession.sparkContext.broadcast(
         (heavy["word"].to_numpy(np.int64)[order], heavy["n"].to_numpy(np.int64)[order], model)
