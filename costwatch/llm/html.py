@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costwatch.staging import stage
+
 LEAST_PAGES = 5
 LEAST_SHARE = 0.02
 MOST_OF_ARTICLE = 0.3
@@ -318,6 +320,8 @@ def extract(pages: DataFrame) -> DataFrame:
         return urls.map(host_key)
 
     keyed = pages.select("page_id", "url", "html").withColumn("host", hosts("url"))
-    joined = keyed.join(templates(pages), "host", "left").select("page_id", "url", "html", "host", "subtrees")
+    # Written first: of known size it is broadcast where it is small, and pages are not shuffled.
+    known_sites = stage(templates(pages), "site_templates")
+    joined = keyed.join(known_sites, "host", "left").select("page_id", "url", "html", "host", "subtrees")
     kind = pages.schema["page_id"].dataType.simpleString()
     return joined.mapInArrow(read, f"page_id {kind}, url string, text string, n_chars long")
