@@ -31,6 +31,13 @@ PART = [
     "retrieval_recall",
     "usage_cost",
     "roundtrip_json",
+    "roundtrip_csv",
+    "roundtrip_reasons",
+    "roundtrip_indented",
+    "qa_prompts",
+    "bm25_padded",
+    "contained_words",
+    "hybrid_topk",
 ]
 NAMES = sorted(QUERIES) if os.environ.get("COSTWATCH_ALL") else PART
 
