@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -89,3 +90,33 @@ def test_sketch_estimates_similarity():
         assert abs(np.mean(errors) - neardup.most_differing_bits(shared)) < 5
         if shared == 0.8:
             assert max(errors) < neardup.most_differing_bits(0.8 - neardup.SLACK)
+
+
+def sketch_miss(similarity, limit):
+    """Exact probability that the sketches of a pair differ in more than `limit` bits."""
+    samples, bits = neardup._SAMPLES, neardup.SKETCH_BITS
+    ways = np.arange(bits + 1)
+    odd, miss = np.eye(1, bits + 1)[0], 0.0
+    for differing in range(samples + 1):
+        for _ in range(2 * (differing > 0)):
+            up, down = odd * (bits - ways) / bits, odd * ways / bits
+            odd = np.append(0, up[:-1]) + np.append(down[1:], 0)
+        share = math.comb(samples, differing) * (1 - similarity) ** differing * similarity ** (samples - differing)
+        miss += share * odd[limit + 1 :].sum()
+    return miss
+
+
+def test_sketch_misses_less_than_bands():
+    limit = neardup.most_differing_bits(neardup.THRESHOLD / 100 - neardup.SLACK)
+    bands = (1 - 0.8**neardup.ROWS) ** neardup.BANDS
+    assert sketch_miss(0.8, limit) < bands / 50
+
+
+def test_pairs_with_unlucky_sketches(spark):
+    # Four of five shingles shared; their sketches differ in 134, 146 and 138 bits, 93 on average.
+    rows = []
+    for k in (31452, 63901, 68832):
+        for n in (5, 6):
+            rows.append((len(rows), " ".join(f"w{k}x{i}" for i in range(n)), "en", "a"))
+    out = neardup.near_duplicates(documents(spark, rows), 2).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in out) == [(i, i // 2 * 2) for i in range(6)]
