@@ -8,8 +8,11 @@ pages with equal articles count once, so copies of an article do not make it a t
 that no article contains by their kind (scripts, forms, navigation, adverts, comments) are deleted
 by tag, role, class and id.
 
-Inside an `article` or `main` element paragraphs, headings, lists' items and quotes are never
-template, other elements only if they hold a small part of its text: authors repeat lines.
+Inside an `article` or `main` element authors repeat lines. Elements there are template if they hold
+a small part of its text; paragraphs, headings, lists' items and quotes only if they stand among the
+first `EDGE` or the last `EDGE` of them on a share of `MOST_SHARE` of the host's different articles.
+For these, articles that are equal in the longest of their other paragraphs count once, so near
+copies of an article do not make its paragraphs a template.
 
 Null and empty pages give an empty text. A null url is a host of its own. Equal rows get equal
 texts. An empty table gives an empty one. Unclosed, misnested and cut-off markup is read as far as
@@ -32,6 +35,8 @@ from costwatch.staging import stage
 
 LEAST_PAGES = 5
 LEAST_SHARE = 0.02
+MOST_SHARE = 0.6
+EDGE = 3
 MOST_OF_ARTICLE = 0.3
 
 # Elements and names by their meaning in HTML and by common usage.
@@ -204,8 +209,27 @@ def may_recur(element: Element, elements: list[Element]) -> bool:
     return element.tag not in AUTHORED and element.size <= MOST_OF_ARTICLE * elements[element.article].size
 
 
+def edges(elements: list[Element]) -> Iterator[tuple[int, int, int]]:
+    """Paragraphs at an end of their article: number, key of subtree and end, longest other paragraph."""
+    articles: dict[int, list[int]] = {}
+    below: set[int] = set()
+    for number, element in enumerate(elements):
+        if element.parent in below:
+            below.add(number)
+        elif element.article >= 0 and element.size and element.tag in AUTHORED - ARTICLE - {"body", "html"}:
+            below.add(number)
+            articles.setdefault(element.article, []).append(number)
+    for numbers in articles.values():
+        longest = sorted(numbers, key=lambda i: -elements[i].size)[:2]
+        for end, some in ((b"first", numbers[:EDGE]), (b"last", numbers[-EDGE:])):
+            for i in some:
+                other = next((elements[j].digest for j in longest if j != i), 0)
+                yield i, xxhash.xxh64_intdigest(end + elements[i].digest.to_bytes(8, "little")), other
+
+
 def blocks(elements: list[Element], template: frozenset | set = frozenset()) -> list[str]:
     """Texts of the blocks of the article in page order."""
+    ending = {i for i, key, _ in edges(elements) if key in template} if template else ()
     whole = all(e.article < 0 or e.dropped for e in elements)
     out: list[str] = []
     run: list[str] = []
@@ -224,7 +248,7 @@ def blocks(elements: list[Element], template: frozenset | set = frozenset()) ->
         if at == 0:
             gone = element.dropped or (
                 template and element.digest in template and may_recur(element, elements)
-            )
+            ) or number in ending
             if element.tag in BLOCK:
                 flush()
             if gone:
@@ -260,11 +284,14 @@ def _signed(x: int) -> int:
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """host, article (hash), subtree (hash; null once per page): distinct per page."""
+    """host, article (hash), subtree (hash; null once per page), ending: distinct per page.
+
+    For paragraphs at an end of their article (`ending`), article is the longest other one.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, articles, subtrees = [], [], []
+            hosts, articles, subtrees, ending = [], [], [], []
             for url, page in zip(batch.column(0), batch.column(1), strict=True):
                 elements = parse(page.as_py() or "")
                 digests(elements)
@@ -274,17 +301,24 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
                 hosts += [host_key(url.as_py())] * (len(found) + 1)
                 articles += [_signed(article)] * (len(found) + 1)
                 subtrees += [None, *map(_signed, found)]
+                last = {(other, key) for _, key, other in edges(elements)}
+                hosts += [host_key(url.as_py())] * len(last)
+                articles += [_signed(other) for other, _ in last]
+                subtrees += [_signed(key) for _, key in last]
+                ending += [False] * (len(found) + 1) + [True] * len(last)
             columns = [pa.array(c, pa.int64()) for c in (hosts, articles, subtrees)]
-            yield pa.RecordBatch.from_arrays(columns, ["host", "article", "subtree"])
+            columns.append(pa.array(ending, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, ["host", "article", "subtree", "ending"])
 
-    return pages.select("url", "html").mapInArrow(scan, "host long, article long, subtree long")
+    return pages.select("url", "html").mapInArrow(scan, "host long, article long, subtree long, ending boolean")
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """host and its recurring subtrees. A host has at most (subtrees a page) / LEAST_SHARE of them."""
-    counts = page_subtrees(pages).distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    counts = page_subtrees(pages).distinct().groupBy("host", "subtree", "ending").agg(F.count(F.lit(1)).alias("n"))
     total = counts.filter("subtree is null").select(F.col("host"), F.col("n").alias("articles"))
-    often = F.greatest(F.lit(LEAST_PAGES), F.col("articles") * LEAST_SHARE)
+    share = F.when(F.col("ending"), MOST_SHARE).otherwise(LEAST_SHARE)
+    often = F.greatest(F.lit(LEAST_PAGES), F.col("articles") * share)
     return (
         counts.filter(F.col("subtree").isNotNull() & (F.col("n") >= LEAST_PAGES))
         .join(total, "host")

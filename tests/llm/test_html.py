@@ -85,3 +85,22 @@ def test_hard_rows(spark):
         [("1", ""), ("None", ""), ("2", "x"), ("2", "x"), ("3", ""), ("4", "\x00\n\x00")]
     )
     assert html.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_notices_as_paragraphs_of_articles(spark):
+    rng = random.Random(5)
+    notice, advert, line = "sign up for our letter", "buy now", "the end"
+    rows = []
+    for i in range(20):
+        own = [text(rng, 12) for _ in range(8)]
+        many = [line] if i % 2 else []
+        body = [advert, *own[:4], notice if i < 8 else own[4], *own[5:], *many, notice]
+        rows.append((i, f"http://a.example/{i}", "<article>" + "".join(f"<p>{x}</p>" for x in body) + "</article>"))
+        rows.append((100 + i, f"http://b.example/{i}", f"<article><p>near copy</p><p>{'same ' * 30}</p><p>{i}</p></article>"))
+    out = {r["page_id"]: r["text"].split("\n") for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(20):
+        assert advert not in out[i] and out[i][-1] != notice
+        assert (notice in out[i]) == (i < 8)  # in the middle an author may have written it
+        assert (line in out[i]) == (i % 2 == 1)
+        assert len(out[i]) == 8 + i % 2
+        assert len(out[100 + i]) == 3
