@@ -6,7 +6,9 @@ share of `LEAST_SHARE` of the host's articles belong to the site's template and
 all that is in them. A page's article is its `article` or `main` element, else the whole body;
 pages with equal articles count once, so copies of an article do not make it a template. Elements
 that no article contains by their kind (scripts, forms, navigation, adverts, comments) are deleted
-by tag, role, class and id.
+by tag, role, class and id. A class, an id or a form alone decides nothing about an element that
+holds most of the page's text, or the page's articles where none stands outside such elements; the
+count decides about these.
 
 Inside an `article` or `main` element authors repeat lines. Elements there are template if they hold
 a small part of its text; paragraphs, headings, lists' items and quotes only if they stand among the
@@ -94,27 +96,31 @@ class Element:
     parts: list = field(default_factory=list)  # texts, and numbers of child elements
     digest: int = 0
     size: int = 0  # characters of text below
+    doubtful: bool = False  # dropped by name, unless the page's text is in it
 
 
-def unwanted(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of an article by its kind."""
-    if tag in NEVER or (tag == "header" and not inside):
-        return True
+def unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is no part of an article by its kind; whether its name or form says so."""
+    if (tag in NEVER and tag != "form") or (tag == "header" and not inside):
+        return True, False
+    doubtful = tag == "form"
     if not attributes or attributes.isspace() or tag in ("body", "html"):
-        return False
+        return False, doubtful
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
             found = set(re.split(r"[^a-z]+", value.lower()))
             if tag not in ARTICLE and (found & NAMES or (not inside and found & NAMES_OUTSIDE)):
-                return True
+                doubtful = True
         elif name == "role" and value.lower() in ROLES:
-            return True
+            if value.lower() != "form":
+                return True, False
+            doubtful = True
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         elif name == "style" and HIDDEN.search(value):
-            return True
-    return False
+            return True, False
+    return False, doubtful
 
 
 def parse(page: str) -> list[Element]:
@@ -138,6 +144,7 @@ def parse(page: str) -> list[Element]:
         if text:
             elements[stack[-1]].parts.append(html.unescape(text))
         if not found:
+            settle(elements)
             return elements
         at = found.end()
         tag = found[2] or found[5]
@@ -165,7 +172,8 @@ def parse(page: str) -> list[Element]:
         parent = elements[stack[-1]]
         inside = parent.article >= 0
         number = len(elements)
-        element = Element(tag, stack[-1], parent.dropped or unwanted(tag, attributes, inside), parent.article)
+        never, doubtful = unwanted(tag, attributes, inside)
+        element = Element(tag, stack[-1], parent.dropped or never, parent.article, doubtful=doubtful)
         if tag in ARTICLE and not inside and not element.dropped:
             element.article = number
         elements.append(element)
@@ -181,6 +189,38 @@ def parse(page: str) -> list[Element]:
             stack.append(number)
 
 
+def settle(elements: list[Element]) -> None:
+    """Drops doubtful elements, but for those in which the page's text or its articles lie."""
+    if not any(e.doubtful for e in elements):
+        return
+    sizes, depths = [0] * len(elements), [0] * len(elements)
+    for number, element in enumerate(elements):
+        if element.parent >= 0:
+            depths[number] = depths[element.parent] + element.doubtful
+    for number in range(len(elements) - 1, -1, -1):
+        element = elements[number]
+        if not element.dropped:
+            sizes[number] += sum(len(part.strip()) for part in element.parts if isinstance(part, str))
+            if number:
+                sizes[element.parent] += sizes[number]
+    articles = [i for i, e in enumerate(elements) if e.article == i and sizes[i]]
+    # Articles below the fewest doubtful elements are the page's: others can be teasers or comments.
+    fewest = min((depths[i] for i in articles), default=0)
+    around: set[int] = set()
+    for number in articles:
+        above = elements[number].parent if depths[number] == fewest else -1
+        while above >= 0 and above not in around:
+            around.add(above)
+            above = elements[above].parent
+    for number, element in enumerate(elements):
+        if number and elements[element.parent].dropped:
+            element.dropped = True
+        elif element.doubtful and number not in around:
+            element.dropped |= 2 * sizes[number] <= sizes[0]
+        if element.dropped:
+            element.article = -1
+
+
 def digests(elements: list[Element]) -> None:
     """Hash and text size of every subtree, children before parents."""
     for number in range(len(elements) - 1, -1, -1):

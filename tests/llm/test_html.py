@@ -104,3 +104,28 @@ def test_notices_as_paragraphs_of_articles(spark):
         assert (line in out[i]) == (i % 2 == 1)
         assert len(out[i]) == 8 + i % 2
         assert len(out[100 + i]) == 3
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<div class='layout has-sidebar'><article><p>a</article><div class=sidebar>s</div></div>", ["a"]),
+        ("<div class='content-sidebar-wrap'><main><p>a</main></div><p>long text that is outside of it", ["a"]),
+        ("<div class='no-sidebar'><div id='page-menu-open'><p>all the text is here</div></div>", ["all the text is here"]),
+        ("<form><input><article><p>own text<form>search</form></article></form>", ["own text"]),
+        ("<div role=form><article>a</article></div>", ["a"]),
+        ("<form action=/>the whole page stands in a form<select><option>o</select></form><p>end", ["the whole page stands in a form", "end"]),
+        ("<div class='has-sidebar'><article>own text</article><div class=related><article>teaser</article></div></div>", ["own text"]),
+        ("<article>own text</article><div class=comments><article>c</article></div>", ["own text"]),
+        ("<article><div class='text has-widgets'><p>own text</p><div class=ad>x</div></div></article>", ["own text"]),
+        ("<div class=menu hidden><article>a</article></div><p>b", ["b"]),
+    ],
+)
+def test_wrappers_with_names(page, want):
+    assert read(page) == want
+
+
+def test_recurring_wrappers_go_by_their_count(spark):
+    rows = [(i, f"http://a.example/{i}", f"<div class=notice>we value your privacy, all of you</div><p>{i}") for i in range(9)]
+    out = html.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["page_id"], r["text"]) for r in out) == [(i, str(i)) for i in range(9)]
