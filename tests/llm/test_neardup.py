@@ -120,3 +120,29 @@ def test_pairs_with_unlucky_sketches(spark):
             rows.append((len(rows), " ".join(f"w{k}x{i}" for i in range(n)), "en", "a"))
     out = neardup.near_duplicates(documents(spark, rows), 2).collect()
     assert sorted((r["doc_id"], r["component_id"]) for r in out) == [(i, i // 2 * 2) for i in range(6)]
+
+
+def test_rows_kept_by_id_and_text(spark):
+    rng = random.Random(6)
+    one, two, three, four = (" ".join(words(rng, 40)) for _ in range(4))
+    rows = [
+        (1, one, "en", "a"),
+        (5, one, "en", "a"),  # a copy under an id that has a clean text as well
+        (5, two, "en", "a"),
+        (5, two, "en", "a"),
+        (6, three, "en", "a"),
+        (6, three + " end", "en", "a"),
+        (None, one + " end", "en", "a"),  # a near copy of a row with an id
+        (None, four, "en", "a"),
+        (None, four + " end", "en", "a"),
+        (None, None, "en", "a"),
+        (8, "", "en", "a"),
+        (8, None, "en", "a"),
+    ]
+    for parts in (1, 4):
+        out = neardup.drop_duplicates(documents(spark, rows, extra=True).repartition(parts), 2)
+        found = sorted((str(r["doc_id"]), str(r["text"])) for r in out.collect())
+        third = [f for f in found if f[0] == "6"]
+        assert len(third) == 1 and third[0][1] in (three, three + " end")
+        rest = [rows[0], rows[2], *rows[7:]]
+        assert [f for f in found if f[0] != "6"] == sorted((str(i), str(t)) for i, t, _, _ in rest)
