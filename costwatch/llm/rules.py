@@ -32,7 +32,7 @@ SLACK = {
     "symbol_ratio": 0.05,
     "shout_ratio": 0.05,
     "dup_line_ratio": 0.15,
-    "repeat_ratio": 0.07,
+    "repeat_ratio": 0.04,  # three times this must lie below the 20 % of the base rule
     "word_length": 1.0,
 }
 

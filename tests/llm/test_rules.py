@@ -76,3 +76,14 @@ def test_sketches_merge_and_plans_are_native(spark):
 
 def test_empty(spark):
     assert rules.rule_digest(documents(spark, [])).count() == 0
+
+
+def test_sketch_decides_about_repeats_below_the_base_rule(spark):
+    rng = random.Random(8)
+    plain = [(i, text(rng, 60), "en", "a") for i in range(60)]
+    run = text(rng, 5)
+    mild = (900, f"{run} {text(rng, 28)} {run} {text(rng, 28)}", "en", "a")
+    out = {r["doc_id"]: r for r in rules.rule_digest(documents(spark, [*plain, mild])).collect()}
+    assert out[900]["n_repeat_words"] == 10 and not out[900]["base_failed"]
+    assert not out[900]["kept"]
+    assert sum(out[i]["kept"] for i in range(60)) >= 58
