@@ -54,7 +54,11 @@ def window_hashes(words: str) -> Column:
 
 
 def measures(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts of each text; no column of text is left."""
+    """doc_id, lang, source and the counts of each text; no column of text is left.
+
+    Written once: a filter on a count would else be pushed below the projections, and the
+    whole expression of the count with it, evaluated anew for every window of a text.
+    """
     text = F.coalesce("text", F.lit(""))
     worded = documents.select(
         "doc_id",
@@ -99,12 +103,12 @@ def measures(documents: DataFrame) -> DataFrame:
         ),
         lambda s: s["n"].cast("long"),
     )
-    return (
+    placed = (
         counted.withColumn("_sorted", F.when(repeated, ordered))
         .withColumn("_places", F.when(F.col("_sorted").isNotNull(), places))
         .withColumn("n_repeat_words", F.coalesce(reach, F.lit(0).cast("long")))
-        .drop("_windows", "_sorted", "_places")
     )
+    return stage(placed.drop("_windows", "_sorted", "_places"), "rule_measures")
 
 
 def with_ratios(counts: DataFrame) -> DataFrame:
@@ -169,7 +173,7 @@ def thresholds(sketches: DataFrame) -> DataFrame:
 
 def judge(documents: DataFrame) -> DataFrame:
     """Counts of every document with base_failed, its bounds and `kept`."""
-    rated = with_ratios(stage(measures(documents), "rule_measures"))
+    rated = with_ratios(measures(documents))
     bounds = thresholds(stage(source_sketches(rated), "rule_sketches"))
     joined = rated.join(
         bounds,
