@@ -87,13 +87,18 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         low = high
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    """Words of the texts between `offsets`, optionally with A-Z in lower case."""
+def find_words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = True, inside: np.ndarray | None = None
+) -> Words:
+    """Words of the texts between `offsets`, optionally with A-Z in lower case.
+
+    `inside` tells for each of the 256 bytes whether it belongs to a word; default: no blank.
+    """
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     if lower:
         data = np.where((data >= 65) & (data <= 90), data | np.uint8(32), data)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13))) if inside is None else inside[data]
     nonempty = np.flatnonzero(np.diff(offsets))
     before = np.empty_like(inside)
     after = np.empty_like(inside)
@@ -105,8 +110,10 @@ def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Wor
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
-def word_slices(column: pa.Array, lower: bool = True) -> Iterator[tuple[int, int, Words]]:
+def word_slices(
+    column: pa.Array, lower: bool = True, inside: np.ndarray | None = None
+) -> Iterator[tuple[int, int, Words]]:
     """`(low, high, words)` for each slice of rows of a text column."""
     data, offsets = text_bytes(column)
     for low, high in slices(offsets):
-        yield low, high, find_words(data, offsets[low : high + 1], lower)
+        yield low, high, find_words(data, offsets[low : high + 1], lower, inside)
