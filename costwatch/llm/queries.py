@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from costwatch.llm import brown, chat, decontaminate, html, mixing, neardup, quality, rules, search, sharding, tokens
+from costwatch.llm import brown, chat, decontaminate, html, mixing, neardup, quality, rules, search, sharding, tokens, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -87,6 +87,14 @@ def op12_search(spark, sf_dir):
 ORACLE_SQL["op12_search"] = search.SEARCH_SQL
 
 
+@query
+def op13_warc(spark, sf_dir):
+    return warc.archive_digest(table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op13_warc"] = warc.WARC_SQL
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
