@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from costwatch.llm import brown, chat, decontaminate, html, mixing, neardup, quality, rules, search, sharding, tokens, warc
+from costwatch.llm import brown, chat, decontaminate, html, mixing, neardup, quality, repair, rules, search, sharding, tokens, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -79,6 +79,14 @@ def op4_brown(spark, sf_dir):
     return brown.scored(table(spark, sf_dir, "documents"), brown.training())
 
 
+@query
+def op11_repair(spark, sf_dir):
+    return repair.repair_digest(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op11_repair"] = repair.REPAIR_SQL
+
+
 @query
 def op12_search(spark, sf_dir):
     return search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
