@@ -1,31 +1,35 @@
-"""Exact top-k scoring of many queries against many documents, in blocks.
-
-Documents and queries are dealt into blocks by a hash of their ids. Every pair of blocks is
-one small task that scores its queries against its documents and returns only the `k` best
-documents per query, so neither pairs nor posting lists of frequent terms are shuffled, and a
-task never holds more than one block of each side, however skewed terms, texts or copies are.
-Spark splits, shuffles and merges the work; numpy adds up the scores inside a task.
+"""Exact top-k search in bounded blocks of documents that bounds let a query skip.
+
+Documents are dealt into blocks of bounded size; each block has an upper bound of the score that
+a query can reach in it. A query first visits the blocks that promise most. The k-th score found
+there is a floor: of the other blocks only those whose bound reaches it are visited, so results
+are exact. Queries travel to the blocks they visit; a task takes up one block after another and
+lets the visiting queries stream by, so it never holds more than one block and a batch of
+queries. Neither (query, document) pairs nor copies of postings are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from costwatch.operators.ranking import SCORE_DECIMALS, best_hits
+from costwatch.operators.ranking import SCORE_DECIMALS, best_hits, top_k
+from costwatch.staging import stage
 
-QUERY_BLOCK = 2_048  # queries per block
-POSTING_BLOCK = 2_000_000  # (document, term) rows per block
+POSTING_BLOCK = 200_000  # (document, term) rows per block
 VECTOR_BLOCK = 32_768  # vectors per block
 SCORE_CELLS = 1_000_000  # scores held at a time inside a task
+SEED_BLOCKS = 2  # blocks that a query visits before bounds are held against its k-th score
+SLACK = 1e-6  # bounds and scores are sums of doubles in different orders
+VISIT_TASKS = 4_096
 # Below these sizes a block is not split further to occupy idle cores.
 MIN_POSTING_BLOCK = 20_000
-MIN_VECTOR_BLOCK = 256
+MIN_VECTOR_BLOCK = 4_096
 
 
 def block_count(df: DataFrame, rows: int, largest: int, smallest: int) -> int:
@@ -34,43 +38,22 @@ def block_count(df: DataFrame, rows: int, largest: int, smallest: int) -> int:
     return max(1, min(2 * cores, -(-rows // smallest)), -(-rows // largest))
 
 
-def _block(c: str, n: Column | int) -> Column:
-    n = n if isinstance(n, Column) else F.lit(n)
-    return F.pmod(F.xxhash64(c), n.cast("bigint"))
-
-
-def _copies(n: Column | int) -> Column:
-    n = n if isinstance(n, Column) else F.lit(n)
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1))
-
-
-def _hit_schema(queries: DataFrame, docs: DataFrame) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("query_id", queries.schema["query_id"].dataType),
-            T.StructField("document_id", docs.schema["document_id"].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-
-
-def _pairwise_top_k(
-    queries: DataFrame, docs: DataFrame, doc_blocks: int, k: int, score: Callable
+def bounded_top_k(
+    seeds: DataFrame,
+    others: Callable[[DataFrame], DataFrame],
+    visit: Callable[[DataFrame], DataFrame],
+    k: int,
 ) -> DataFrame:
-    n_queries = queries.agg(F.count_distinct("query_id").alias("n")).scalar()
-    query_blocks = F.greatest(F.ceil(n_queries / QUERY_BLOCK), F.lit(1))
-    left = queries.withColumn("_qb", _block("query_id", query_blocks)).withColumn(
-        "_db", _copies(doc_blocks)
-    )
-    right = docs.withColumn("_db", _block("document_id", doc_blocks)).withColumn(
-        "_qb", _copies(query_blocks)
-    )
-    scored = (
-        left.groupBy("_qb", "_db")
-        .cogroup(right.groupBy("_qb", "_db"))
-        .applyInPandas(score, _hit_schema(queries, docs))
-    )
-    return best_hits(scored, "score", k)
+    """The `k` best hits: (query_id, document_id, score, rank).
+
+    `seeds` are the (query_id, block) pairs to visit first. `others` gets (query_id, floor), the
+    k-th score of each query that has one, and returns the other pairs whose bound reaches it.
+    `visit` scores pairs and returns at most `k` hits for each.
+    """
+    first = stage(best_hits(visit(seeds), "score", k), "first_hits")
+    floors = first.filter(F.col("rank") == k).select("query_id", (F.col("score") - SLACK).alias("floor"))
+    rest = visit(others(floors))
+    return best_hits(first.drop("rank").unionByName(rest), "score", k)
 
 
 def _take_best(scores: np.ndarray, k: int, at_least: float) -> np.ndarray:
@@ -81,95 +64,293 @@ def _take_best(scores: np.ndarray, k: int, at_least: float) -> np.ndarray:
     return found[np.argsort(-scores[found], kind="stable")[:k]]
 
 
-def _frame(query_ids: list, doc_ids: list, scores: list) -> pd.DataFrame:
-    sizes = [len(s) for s in scores]
-    if not sum(sizes):
-        return pd.DataFrame({"query_id": [], "document_id": [], "score": []})
-    return pd.DataFrame(
-        {
-            "query_id": np.repeat(np.array(query_ids, dtype=object), sizes),
-            "document_id": np.concatenate(doc_ids),
-            "score": np.concatenate(scores),
-        }
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """(block, kind, rows) of neighbouring rows that agree in both."""
+    block, kind = (batch.column(c).to_numpy() for c in ("block", "kind"))
+    cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
+    for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if high > low:
+            yield int(block[low]), int(kind[low]), batch.slice(low, high - low)
+
+
+def _lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The values of a column of lists, one after another, and the length of each list."""
+    lengths = np.diff(column.offsets.to_numpy())
+    return column.flatten(), lengths
+
+
+def _visited(
+    block_rows: DataFrame, query_rows: DataFrame, n_blocks: int, holder: Callable, schema: str
+) -> DataFrame:
+    """Hits of queries in the blocks they visit; `holder()` takes up a block and scores queries.
+
+    Both sides have a column `block`; the rows of a block come before the queries that visit it.
+    """
+    rows = block_rows.withColumn("kind", F.lit(0)).unionByName(
+        query_rows.withColumn("kind", F.lit(1)), allowMissingColumns=True
     )
+    dealt = rows.repartition(min(n_blocks, VISIT_TASKS), "block").sortWithinPartitions("block", "kind")
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, None
+        for batch in batches:
+            for block, kind, part in _runs(batch):
+                if block != current:
+                    current, held = block, holder()
+                if kind == 0:
+                    held.add(part)
+                else:
+                    for ids, hits in held.score(part):
+                        yield pa.record_batch([ids, *hits], ["query_id", "document_id", "score"])
+
+    return dealt.mapInArrow(stream, schema)
+
+
+def _hit_schema(queries: DataFrame, docs: DataFrame) -> str:
+    kinds = [f.schema[c].dataType.simpleString() for f, c in ((queries, "query_id"), (docs, "document_id"))]
+    return f"query_id {kinds[0]}, document_id {kinds[1]}, score double"
+
+
+class _Hits:
+    """Hits of some queries, collected into Arrow columns."""
+
+    def __init__(self, queries: pa.Array, ids: np.ndarray):
+        self.queries, self.ids, self.rows, self.docs, self.scores = queries, ids, [], [], []
+
+    def add(self, row: int, scores: np.ndarray, k: int) -> None:
+        best = _take_best(scores, k, -np.inf)
+        self.rows.append(np.full(len(best), row))
+        self.docs.append(best)
+        self.scores.append(scores[best])
+
+    def columns(self, kind: pa.DataType) -> tuple[pa.Array, list[pa.Array]]:
+        rows, docs, scores = (np.concatenate(c) if c else np.empty(0) for c in (self.rows, self.docs, self.scores))
+        found = pa.array(self.ids[docs.astype(np.int64)].tolist(), kind)
+        return self.queries.take(pa.array(rows.astype(np.int64))), [found, pa.array(scores, pa.float64())]
+
+
+# Terms
+
+
+def blocked_postings(weighted: DataFrame, block: Column) -> DataFrame:
+    """(block, document_id, term, weight), written; `weighted` has what `block` needs."""
+    return stage(weighted.select(block.alias("block"), "document_id", "term", "weight"), "blocked_postings")
+
+
+def term_bounds(query_terms: DataFrame, postings: DataFrame) -> DataFrame:
+    """(query_id, block, bound): the most a query can reach in each block that holds a term of it.
+
+    A document may lack a term, so a weight counts as 0 at least.
+    """
+    largest = postings.groupBy("block", "term").agg(F.max("weight").alias("most"))
+    reach = query_terms.join(largest, "term")
+    most = F.col("weight") * F.greatest("most", F.lit(0.0))
+    return reach.groupBy("query_id", "block").agg(F.sum(most).alias("bound"))
+
+
+def seed_pairs(bounds: DataFrame) -> DataFrame:
+    order = [F.col("bound").desc(), F.col("block").asc()]
+    return top_k(bounds, SEED_BLOCKS, order).select("query_id", "block")
+
+
+def open_pairs(bounds: DataFrame, seeds: DataFrame, floors: DataFrame) -> DataFrame:
+    """Pairs not yet visited whose bound reaches the floor of the query, or that has none."""
+    left = bounds.join(seeds, ["query_id", "block"], "left_anti").join(floors, "query_id", "left")
+    return left.filter(F.col("floor").isNull() | (F.col("bound") >= F.col("floor"))).select("query_id", "block")
+
+
+class _TermBlock:
+    """The posting lists of a block, and scores of queries against them."""
+
+    def __init__(self, k: int, positive: bool):
+        self.k, self.positive, self.parts, self.lists = k, positive, [], None
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.parts.append([part.column(c) for c in ("term", "document_id", "weight")])
+
+    def _ready(self) -> None:
+        terms, ids, weights = (pa.concat_arrays(c) for c in zip(*self.parts))
+        self.kind, self.parts = ids.type, [None]
+        coded = terms.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        self.ids, place = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)
+        self.place, self.weights = place[order], weights.to_numpy()[order]
+        starts = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1)).tolist()
+        self.lists = {t: slice(*starts[i : i + 2]) for i, t in enumerate(coded.dictionary.to_pylist())}
+
+    def score(self, part: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[pa.Array]]]:
+        if not self.parts:
+            return
+        if self.lists is None:
+            self._ready()
+        hits = _Hits(part.column("query_id"), self.ids)
+        total, hit = np.zeros(len(self.ids)), np.zeros(len(self.ids), dtype=bool)
+        for row, asked in enumerate(part.column("term").to_pylist()):
+            total[:], hit[:] = 0.0, False
+            for pair in json.loads(asked):
+                cells = self.lists.get(pair["term"])
+                if cells is not None:
+                    places = self.place[cells]
+                    total[places] += pair["weight"] * self.weights[cells]
+                    hit[places] = True
+            found = hit & (total > 0) if self.positive else hit
+            hits.add(row, np.where(found, np.round(total, SCORE_DECIMALS), -np.inf), self.k)
+        yield hits.columns(self.kind)
 
 
 def sparse_top_k(
-    query_terms: DataFrame, postings: DataFrame, posting_rows: int, k: int, positive: bool = False
+    query_terms: DataFrame, postings: DataFrame, n_blocks: int, k: int, positive: bool = False
 ) -> DataFrame:
     """Best documents by the sum over common terms of query weight times document weight.
 
-    `query_terms` is (query_id, term, weight), `postings` (document_id, term, weight), both
-    with unique (id, term). Documents without a common term are no hits, with `positive` also
-    those whose sum is not above 0 (before it is rounded).
+    `query_terms` is (query_id, term, weight) with weights above 0 and unique (query_id, term);
+    `postings` comes from `blocked_postings`. Documents without a common term are no hits, with
+    `positive` also those whose sum is not above 0 (before it is rounded).
     """
+    bounds = stage(term_bounds(query_terms, postings), "block_bounds")
+    seeds = seed_pairs(bounds)
+    # The terms of a query as one text in the column `term`: Arrow writes columns of lists that
+    # are mostly null many times more slowly than texts.
+    pairs = F.array_sort(F.collect_list(F.struct("term", "weight")))
+    asked = query_terms.groupBy("query_id").agg(F.to_json(pairs).alias("term"))
+    schema = _hit_schema(query_terms, postings)
 
-    def score(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or p.empty:
-            return _frame([], [], [])
-        docs, doc_pos = np.unique(p["document_id"].to_numpy(), return_inverse=True)
-        codes, terms = pd.factorize(p["term"])
-        by_term = np.argsort(codes, kind="stable")
-        doc_pos, doc_weight = doc_pos[by_term], p["weight"].to_numpy()[by_term]
-        starts = np.searchsorted(codes[by_term], np.arange(len(terms) + 1))
-
-        q = q.assign(code=pd.Index(terms).get_indexer(q["term"]))
-        q = q[q["code"] >= 0].sort_values(["query_id", "term"])
-        asked, query_pos = np.unique(q["query_id"].to_numpy(), return_inverse=True)
-        code, weight = q["code"].to_numpy(), q["weight"].to_numpy()
-        first = starts[code]
-        size = starts[code + 1] - first
-
-        doc_ids, scores = [], []
-        step = max(1, SCORE_CELLS // len(docs))
-        for low in range(0, len(asked), step):  # a batch of queries, bounded in cells
-            rows = slice(*np.searchsorted(query_pos, [low, low + step]))
-            n = min(step, len(asked) - low)
-            total = np.zeros(n * len(docs))
-            hit = np.zeros(n * len(docs), dtype=bool)
-            row_of = (query_pos[rows] - low) * len(docs)
-            for row, at, length, w in zip(row_of, first[rows], size[rows], weight[rows]):
-                cells = row + doc_pos[at : at + length]
-                total[cells] += w * doc_weight[at : at + length]
-                hit[cells] = True
-            if positive:
-                hit &= total > 0
-            total = np.where(hit, np.round(total, SCORE_DECIMALS), -np.inf).reshape(n, -1)
-            for line in total:
-                best = _take_best(line, k, -np.inf)
-                doc_ids.append(docs[best])
-                scores.append(line[best])
-        return _frame(list(asked), doc_ids, scores)
-
-    blocks = block_count(postings, posting_rows, POSTING_BLOCK, MIN_POSTING_BLOCK)
-    return _pairwise_top_k(query_terms, postings, blocks, k, score)
-
-
-def _nearest(docs: np.ndarray, vectors: np.ndarray, asked: np.ndarray, k: int) -> tuple:
-    """Per query vector its `k` best of a block (ids sorted) and their scores."""
-    doc_ids, scores = [], []
-    step = max(1, SCORE_CELLS // max(len(docs), 1))
-    for low in range(0, len(asked), step):  # a batch of queries, bounded in cells
-        for row in np.round(asked[low : low + step] @ vectors.T, SCORE_DECIMALS):
-            best = _take_best(row, k, -np.inf)
-            doc_ids.append(docs[best])
-            scores.append(row[best])
-    return doc_ids, scores
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
+    def visit(pairs: DataFrame) -> DataFrame:
+        return _visited(postings, pairs.join(asked, "query_id"), n_blocks, lambda: _TermBlock(k, positive), schema)
 
+    return bounded_top_k(seeds, lambda floors: open_pairs(bounds, seeds, floors), visit, k)
+
+
+# Vectors
+
+MAX_CENTROIDS = 1_024
+SAMPLE_PER_CENTROID = 16  # of the documents that come first by hash, to place the centroids
+PLACING_ROUNDS = 5
 
-def dense_top_k(queries: DataFrame, corpus: DataFrame, corpus_rows: int, k: int) -> DataFrame:
-    """Best documents by inner product of `embedding`s, which are unit vectors, block by block."""
 
-    def score(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or d.empty:
-            return _frame([], [], [])
-        d = d.sort_values("document_id")
-        found = _nearest(d["document_id"].to_numpy(), _matrix(d["embedding"]), _matrix(q["embedding"]), k)
-        return _frame(list(q["query_id"]), *found)
+def _matrix(column: pa.Array) -> np.ndarray:
+    values, lengths = _lists(column)
+    return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lengths), -1)
 
-    blocks = block_count(corpus, corpus_rows, VECTOR_BLOCK, MIN_VECTOR_BLOCK)
-    return _pairwise_top_k(queries, corpus, blocks, k, score)
+
+def _nearest_centroid(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and distance of the centroid next to each vector."""
+    near = np.argmin((centroids**2).sum(axis=1) - 2.0 * vectors @ centroids.T, axis=1)
+    return near, np.linalg.norm(vectors - centroids[near], axis=1)
+
+
+def place_centroids(corpus: DataFrame, n: int) -> np.ndarray:
+    """About `n` means of a sample of bounded size; where they lie decides speed, never results."""
+    sample = corpus.orderBy(F.xxhash64("document_id")).limit(n * SAMPLE_PER_CENTROID).select("embedding")
+    vectors = np.array([r[0] for r in sample.collect()], dtype=np.float64)
+    centroids = vectors[:n].copy()
+    for _ in range(PLACING_ROUNDS):
+        near, _ = _nearest_centroid(vectors, centroids)
+        for c in np.unique(near):
+            centroids[c] = vectors[near == c].mean(axis=0)
+    return centroids
+
+
+def vector_blocks(corpus: DataFrame, corpus_rows: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(document_id, embedding, block), written, and the centroid and radius of each block.
+
+    Vectors go to the next centroid; those of a centroid that has too many are split by a hash.
+    """
+    centroids = place_centroids(corpus, min(MAX_CENTROIDS, block_count(corpus, corpus_rows, VECTOR_BLOCK, MIN_VECTOR_BLOCK)))
+    sent = corpus.sparkSession.sparkContext.broadcast(centroids)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near, away = _nearest_centroid(_matrix(batch.column("embedding")), sent.value)
+                yield pa.record_batch([*batch.columns, pa.array(near), pa.array(away)], [*batch.schema.names, "near", "away"])
+
+    rows = corpus.select("document_id", "embedding")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    near = stage(rows.mapInArrow(assign, f"{kinds}, near bigint, away double"), "assigned_vectors")
+    held = near.groupBy("near").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
+    parts, middles, radii = [], [], []
+    for r in held.collect():  # a row for each centroid
+        n = -(-r["n"] // VECTOR_BLOCK)
+        parts.append((r["near"], len(radii), n))
+        middles += [centroids[r["near"]]] * n
+        radii += [r["radius"]] * n
+    numbers = corpus.sparkSession.createDataFrame(parts, "near bigint, first bigint, parts bigint")
+    block = F.col("first") + F.pmod(F.xxhash64("document_id"), F.col("parts"))
+    near = near.join(F.broadcast(numbers), "near")
+    return near.select("document_id", "embedding", block.alias("block")), np.array(middles), np.array(radii)
+
+
+def _vector_pairs(queries: DataFrame, sent, seeds: bool) -> DataFrame:
+    """(query_id, block) to visit: the blocks that promise most, or others that reach `floor`.
+
+    A vector's product with a query is at most that of its centroid plus radius times the
+    length of the query.
+    """
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        middles, radii = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            asked = _matrix(batch.column("embedding"))
+            bounds = asked @ middles.T + np.linalg.norm(asked, axis=1, keepdims=True) * radii
+            best = np.argsort(-bounds, axis=1, kind="stable")[:, :SEED_BLOCKS]
+            chosen = np.zeros(bounds.shape, dtype=bool)
+            np.put_along_axis(chosen, best, True, axis=1)
+            if not seeds:
+                floor = batch.column("floor").to_numpy(zero_copy_only=False)
+                chosen = ~chosen & ~(bounds < floor[:, None])  # without a floor (NaN) all
+            row, block = np.nonzero(chosen)
+            ids = batch.column("query_id").take(pa.array(row))
+            yield pa.record_batch([ids, pa.array(block.astype(np.int64))], ["query_id", "block"])
+
+    kind = queries.schema["query_id"].dataType.simpleString()
+    return queries.mapInArrow(choose, f"query_id {kind}, block bigint")
+
+
+class _VectorBlock:
+    def __init__(self, k: int):
+        self.k, self.parts, self.vectors = k, [], None
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.kind = part.column("document_id").type
+        ids = part.column("document_id").to_numpy(zero_copy_only=False)
+        self.parts.append((ids, _matrix(part.column("embedding"))))
+
+    def score(self, part: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[pa.Array]]]:
+        if not self.parts:
+            return
+        if self.vectors is None:
+            ids, vectors = (np.concatenate(c) for c in zip(*self.parts))
+            order = np.argsort(ids, kind="stable")
+            self.ids, self.vectors, self.parts = ids[order], vectors[order], [None]
+        asked = _matrix(part.column("embedding"))
+        hits = _Hits(part.column("query_id"), self.ids)
+        step = max(1, SCORE_CELLS // len(self.ids))
+        for low in range(0, len(asked), step):  # a batch of queries, bounded in cells
+            for row, scores in enumerate(np.round(asked[low : low + step] @ self.vectors.T, SCORE_DECIMALS), low):
+                hits.add(row, scores, self.k)
+        yield hits.columns(self.kind)
+
+
+def dense_top_k(queries: DataFrame, corpus: DataFrame, corpus_rows: int, k: int) -> DataFrame:
+    """Best documents by inner product of `embedding`s of one length."""
+    schema = _hit_schema(queries, corpus)
+    if not corpus_rows:
+        return queries.sparkSession.createDataFrame([], schema + ", rank int")
+    blocks, middles, radii = vector_blocks(corpus, corpus_rows)
+    sent = queries.sparkSession.sparkContext.broadcast((middles, radii))
+    asked = queries.select("query_id", "embedding")
+
+    def visit(pairs: DataFrame) -> DataFrame:
+        return _visited(blocks, pairs.join(asked, "query_id"), len(radii), lambda: _VectorBlock(k), schema)
+
+    def others(floors: DataFrame) -> DataFrame:
+        return _vector_pairs(asked.join(floors, "query_id", "left"), sent, seeds=False)
+
+    seeds = _vector_pairs(asked, sent, seeds=True)
+    if len(radii) <= SEED_BLOCKS:  # all of them
+        return best_hits(visit(seeds), "score", k)
+    return bounded_top_k(seeds, others, visit, k)

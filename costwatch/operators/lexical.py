@@ -8,10 +8,13 @@ from dataclasses import dataclass, replace
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from costwatch.functions.text import tokenize, word_ngrams
-from costwatch.operators.blocks import sparse_top_k
-from costwatch.operators.ranking import best_hits
+from costwatch.functions.text import let, tokenize, word_ngrams
+from costwatch.operators import blocks
+from costwatch.operators.blocks import block_count, blocked_postings, sparse_top_k
+from costwatch.operators.ranking import best_hits, top_k
+from costwatch.operators.shared import shared_cut, shared_top_k
 from costwatch.settings import QUESTION_TOP_K, TOP_K
 from costwatch.staging import join_side, stage
 
@@ -20,22 +23,73 @@ K1 = 1.5
 B = 0.75
 EPSILON = 0.25
 
+ID_RANGE = 16_384  # ids whose matches are counted together
+
 
 @dataclass(frozen=True)
 class LexicalIndex:
-    """Written tables of an index.
+    """Written tables of an index, and what is known of them.
 
-    postings: (document_id, term, tf); documents: (document_id, length), also of documents
-    without a term; terms: (term, df).
+    counted: (document_id, length, n_terms, counts), a row for each document with its (term, tf)
+    pairs and their number;
+    terms: (term, df).
     """
 
-    postings: DataFrame
-    documents: DataFrame
+    counted: DataFrame
     terms: DataFrame
-    n_postings: int
     tokens: Callable[[Column], Column]
     weights: DataFrame | None = None
-    """(document_id, term, weight): tf-idf of every posting, not yet scaled to unit length."""
+    """(document_id, length, term, weight): tf-idf, scaled to document vectors of unit length."""
+
+    @property
+    def postings(self) -> DataFrame:
+        """(document_id, length, term, tf), taken out of the rows of the documents."""
+        return self.counted.select("document_id", "length", F.inline("counts"))
+
+    @property
+    def documents(self) -> DataFrame:
+        """(document_id, length), also of documents without a term."""
+        return self.counted.select("document_id", "length")
+
+    def blocks(self) -> tuple[Column, int]:
+        """The block of a document, from its id and length, and the number of blocks.
+
+        Documents of like length share blocks, so that their weights, which depend on the
+        length, are alike; a class of lengths has blocks in proportion to its postings.
+        """
+        size = F.floor(F.log2(F.col("length") + 1)).cast("int")
+        held = self.counted.groupBy(size.alias("size")).agg(F.sum("n_terms").alias("n"))
+        sizes = [(r["size"], r["n"]) for r in held.collect()]  # at most 63 classes
+        total = sum(n for _, n in sizes)
+        wanted = block_count(self.counted, total, blocks.POSTING_BLOCK, blocks.MIN_POSTING_BLOCK)
+        number, first = F.lit(0).cast("bigint"), 0
+        for s, n in sizes:
+            parts = max(1, round(wanted * n / max(total, 1)))
+            number = F.when(size == s, first + F.pmod(F.xxhash64("document_id"), F.lit(parts))).otherwise(number)
+            first += parts
+        return number, max(first, 1)
+
+
+def term_counts(tokens: Column) -> Column:
+    """Array of (term, tf): runs of equal tokens in sorted order, counted inside the row."""
+
+    def counts(ordered: Column) -> Column:
+        new = lambda i: (i == 0) | (F.get(ordered, i - 1) != F.get(ordered, i))
+        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1))
+        starts = F.filter(F.coalesce(places, F.array().cast("array<int>")), new)
+
+        def pairs(heads: Column) -> Column:
+            ends = lambda j: F.coalesce(F.get(heads, j + 1), F.size(ordered))
+            return F.transform(
+                heads,
+                lambda at, j: F.struct(
+                    F.get(ordered, at).alias("term"), (ends(j) - at).cast("bigint").alias("tf")
+                ),
+            )
+
+        return let(starts, pairs)
+
+    return let(F.sort_array(tokens), counts)
 
 
 def lexical_index(
@@ -43,29 +97,22 @@ def lexical_index(
 ) -> LexicalIndex:
     """Build and stage the index of `docs` (unique document_id). Each text is read once.
 
-    Postings are one row per document and term. A document is one input row, so partial
-    aggregation finishes its counts before the shuffle.
+    A document's terms are counted inside its row, so that only (term, count) rows, summed up
+    in each task, are shuffled.
     """
     tokenized = docs.select("document_id", tokens(F.col(text_col)).alias("_tokens"))
-    postings = stage(
+    none = F.array().cast("array<struct<term:string,tf:bigint>>")
+    counted = stage(
         tokenized.select(
             "document_id",
             F.coalesce(F.size("_tokens"), F.lit(0)).cast("bigint").alias("length"),
-            F.explode_outer("_tokens").alias("term"),
-        )
-        .groupBy("document_id", "length", "term")
-        .agg(F.count("term").alias("tf")),
-        "postings",
+            F.coalesce(term_counts(F.col("_tokens")), none).alias("counts"),
+        ).withColumn("n_terms", F.size("counts")),
+        "counted",
     )
-    terms = postings.filter("term is not null")
+    terms = counted.select(F.explode("counts.term").alias("term"))
     df = stage(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
-    return LexicalIndex(
-        postings=terms,
-        documents=stage(postings.select("document_id", "length").distinct(), "lengths"),
-        terms=df,
-        n_postings=postings.count(),  # from file footers
-        tokens=tokens,
-    )
+    return LexicalIndex(counted, df, tokens)
 
 
 def corpus_stats(index: LexicalIndex) -> DataFrame:
@@ -120,45 +167,90 @@ def bm25_search(
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length_norm)
     asked = terms.select("query_id", "term", F.col("qtf").cast("double").alias("weight"))
     held = index.postings.join(join_side(wanted), "term").select(
-        "document_id", "term", weight.alias("weight")
+        "document_id", "length", "term", weight.alias("weight")
     )
-    hits = sparse_top_k(asked, held, index.n_postings, k)
+    cut = shared_cut(asked, wanted)
+    hits = shared_top_k(asked, held, cut, k) if cut else _search_blocks(asked, held, index, k)
     if not pad:
         return hits
     hits = stage(hits, "hits")
-    blanks = _unmatched(terms, hits, index, k).withColumn("score", F.lit(0.0))
+    blanks = unmatched(terms, hits, index, k).withColumn("score", F.lit(0.0))
     return best_hits(hits.drop("rank").unionByName(blanks), "score", k)
 
 
-def _unmatched(terms: DataFrame, hits: DataFrame, index: LexicalIndex, k: int) -> DataFrame:
+def _search_blocks(
+    asked: DataFrame, held: DataFrame, index: LexicalIndex, k: int, positive: bool = False
+) -> DataFrame:
+    block, n_blocks = index.blocks()
+    return sparse_top_k(asked, blocked_postings(held, block), n_blocks, k, positive)
+
+
+def id_ordinals(documents: DataFrame) -> DataFrame:
+    """(document_id, ordinal), written: the place of each id in id order, from 0."""
+    ordered = documents.select("document_id").repartitionByRange("document_id")
+    ordered = ordered.sortWithinPartitions("document_id").select(
+        "document_id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
+    )
+    ordered = stage(ordered, "ordered_ids")
+    parts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    past, offsets = 0, []
+    for r in parts.orderBy("part").collect():  # a row for each task
+        offsets.append((r["part"], past - r["first"]))
+        past += r["n"]
+    carried = documents.sparkSession.createDataFrame(offsets, "part int, past bigint")
+    placed = ordered.join(F.broadcast(carried), "part")
+    return stage(placed.select("document_id", (F.col("at") + F.col("past")).alias("ordinal")), "ordinals")
+
+
+def unmatched(terms: DataFrame, hits: DataFrame, index: LexicalIndex, k: int) -> DataFrame:
     """The `k` smallest ids without a common term, for queries with fewer than `k` positive hits.
 
-    Looks at the first ids, and at twice as many for queries that share a term with too many of
-    those, until each has `k` or all ids were looked at.
+    Ids are numbered in order and the numbers cut into ranges. Matches are counted by query and
+    range; the free ids of a query lie in its first ranges that are not full, `k` of them at
+    most, and there in the gaps between the matched numbers.
     """
     full = hits.filter("score > 0").groupBy("query_id").count().filter(F.col("count") >= k)
     open_ = terms.select("query_id").distinct().join(full, "query_id", "left_anti")
-    n = index.documents.count()
-    found, width = None, 4 * k
-    while True:
-        open_ = stage(open_, "queries_to_pad")
-        first = index.documents.select("document_id").orderBy("document_id").limit(width)
-        near = index.postings.join(first, "document_id", "left_semi")
-        matched = (
-            terms.join(open_, "query_id", "left_semi").join(near, "term").select("query_id", "document_id")
-        )
-        ids = first.agg(F.array_sort(F.collect_list("document_id")).alias("ids"))
-        taken = matched.groupBy("query_id").agg(F.collect_set("document_id").alias("taken"))
-        free = F.array_except("ids", F.coalesce("taken", F.array().cast(ids.schema["ids"].dataType)))
-        lists = open_.join(taken, "query_id", "left").crossJoin(F.broadcast(ids))
-        lists = stage(lists.select("query_id", F.slice(free, 1, k).alias("ids")), "ids_to_pad")
-        done = lists if width >= n else lists.filter(F.size("ids") >= k)
-        rows = done.select("query_id", F.explode("ids").alias("document_id"))
-        found = rows if found is None else found.unionByName(rows)
-        open_ = lists.join(done, "query_id", "left_anti").select("query_id")
-        if width >= n or open_.isEmpty():
-            return found
-        width *= 2
+    open_ = stage(open_, "queries_to_pad")
+    ordinals = id_ordinals(index.documents)
+    n = ordinals.count()
+    matched = (
+        terms.join(open_, "query_id", "left_semi")
+        .join(index.postings.select("document_id", "term"), "term")
+        .select("query_id", "document_id")
+        .distinct()
+        .join(ordinals, "document_id")
+        .select("query_id", "ordinal", F.expr(f"ordinal div {ID_RANGE}").alias("range"))
+    )
+    matched = stage(matched, "matched_ordinals")
+
+    # The ranges a query matches without a gap from the first one on, and the first it does not
+    per_range = matched.groupBy("query_id", "range").agg(F.count(F.lit(1)).alias("taken"))
+    in_order = Window.partitionBy("query_id").orderBy("range")
+    per_range = per_range.withColumn("place", F.row_number().over(in_order) - 1).filter(F.col("range") == F.col("place"))
+    size = F.least(F.lit(ID_RANGE), n - F.col("range") * ID_RANGE)
+    free = (size - F.col("taken")).alias("free")
+    per_range = stage(per_range.select("query_id", "range", free), "matched_ranges")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("free").over(earlier), F.lit(0))
+    partly = per_range.withColumn("before", before).filter((F.col("free") > 0) & (F.col("before") < k))
+    first_free = open_.join(per_range.groupBy("query_id").agg(F.max("range").alias("last")), "query_id", "left")
+    start = (F.coalesce(F.col("last") + 1, F.lit(0)) * ID_RANGE).cast("bigint")
+    untouched = first_free.withColumn("start", start).filter(F.col("start") < n)
+    whole = untouched.select(
+        "query_id", F.explode(F.sequence(F.col("start"), F.least(F.col("start") + k, F.lit(n)) - 1)).alias("ordinal")
+    )
+
+    # Gaps between matched numbers of the ranges that are partly free; one more row than matches
+    edges = partly.select("query_id", "range", F.least((F.col("range") + 1) * ID_RANGE, F.lit(n)).alias("ordinal"))
+    inside = matched.join(partly.select("query_id", "range"), ["query_id", "range"], "left_semi")
+    along = Window.partitionBy("query_id", "range").orderBy("ordinal")
+    gap = F.coalesce(F.lag("ordinal").over(along) + 1, F.col("range") * ID_RANGE)
+    gaps = inside.unionByName(edges).withColumn("start", gap).filter(F.col("start") < F.col("ordinal"))
+    last = F.least(F.col("ordinal"), F.col("start") + k) - 1
+    between = gaps.select("query_id", F.explode(F.sequence("start", last)).alias("ordinal"))
+    chosen = top_k(whole.unionByName(between), k, [F.col("ordinal").asc()]).drop("rank")
+    return chosen.join(ordinals, "ordinal").select("query_id", "document_id")
 
 
 def default_stop_words() -> list[str]:
@@ -176,9 +268,11 @@ def tfidf_index(
     index = lexical_index(docs, text_col, lambda c: word_ngrams(c, stop))
     # Built on the terms: their keys are distinct, and those of frequent terms only stream by.
     weights = index.postings.join(_smooth_idf(index).hint("shuffle_hash"), "term").select(
-        "document_id", "term", (F.col("tf") * F.col("idf")).alias("weight")
+        "document_id", "length", "term", (F.col("tf") * F.col("idf")).alias("weight")
     )
-    return replace(index, weights=stage(weights, "weights"))
+    weights = stage(weights, "weights")
+    norms = stage(_norms(weights, "document_id"), "norms")
+    return replace(index, weights=stage(_unit(weights, join_side(norms), "document_id"), "unit_weights"))
 
 
 def _smooth_idf(index: LexicalIndex) -> DataFrame:
@@ -189,8 +283,8 @@ def _smooth_idf(index: LexicalIndex) -> DataFrame:
 def tfidf_search(queries: DataFrame, index: LexicalIndex, k: int = QUESTION_TOP_K) -> DataFrame:
     """`k` best documents per question by cosine of tf-idf vectors, positive scores only.
 
-    Terms that the corpus lacks do not count. The length of a document vector is summed
-    over all its terms; only postings of terms that some question holds are scored.
+    Terms that the corpus lacks do not count. Document vectors have unit length in the index;
+    only postings of terms that some question holds are looked at.
     """
     if index.weights is None:
         raise ValueError("not a tf-idf index")
@@ -200,19 +294,15 @@ def tfidf_search(queries: DataFrame, index: LexicalIndex, k: int = QUESTION_TOP_
     asked = terms.join(join_side(known), "term").select(
         "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
     )
+    asked = stage(_unit(asked, _norms(asked, "query_id"), "query_id"), "asked")
     held = index.weights.join(join_side(known.select("term")), "term", "left_semi")
-    return sparse_top_k(
-        _unit(asked, asked, "query_id"),
-        _unit(held, index.weights, "document_id"),
-        index.n_postings,
-        k,
-        positive=True,
-    )
+    return _search_blocks(asked, held, index, k, positive=True)
 
 
-def _unit(terms: DataFrame, all_terms: DataFrame, key: str) -> DataFrame:
+def _norms(terms: DataFrame, key: str) -> DataFrame:
+    return terms.groupBy(key).agg(F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("_n"))
+
+
+def _unit(terms: DataFrame, norms: DataFrame, key: str) -> DataFrame:
     """Weights divided by the length of the whole vector."""
-    norms = all_terms.groupBy(key).agg(F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("_n"))
-    return terms.join(norms, key).select(
-        key, "term", (F.col("weight") / F.col("_n")).alias("weight")
-    )
+    return terms.join(norms, key).withColumn("weight", F.col("weight") / F.col("_n")).drop("_n")

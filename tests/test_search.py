@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from costwatch.operators import blocks, dense, evaluate, hybrid, lexical, ranking
+from costwatch.operators import blocks, dense, evaluate, hybrid, lexical, ranking, shared
 
 random.seed(3)
 WORDS = [f"w{i}" for i in range(40)]
@@ -27,7 +27,8 @@ QUERIES = [
 @pytest.fixture(autouse=True)
 def small_blocks(monkeypatch):
     monkeypatch.setattr(blocks, "POSTING_BLOCK", 100)
-    monkeypatch.setattr(blocks, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(blocks, "MIN_POSTING_BLOCK", 50)
+    monkeypatch.setattr(blocks, "MIN_VECTOR_BLOCK", 8)
     monkeypatch.setattr(blocks, "VECTOR_BLOCK", 16)
     monkeypatch.setattr(blocks, "SCORE_CELLS", 20)
 
@@ -111,9 +112,7 @@ def test_tfidf_against_brute_force(spark, docs, queries):
         same(got[query_id], [h for h in best(scores, 4) if round(h[1], 8) > 0])
 
 
-@pytest.mark.parametrize("query_block", [3, 100])  # in blocks, and as a scan
-def test_dense_against_brute_force(spark, monkeypatch, query_block):
-    monkeypatch.setattr(blocks, "QUERY_BLOCK", query_block)
+def test_dense_against_brute_force(spark):
     rng = np.random.default_rng(5)
     matrix = rng.normal(size=(70, 8))
     matrix[20:50] = matrix[20]  # copies: ties go to the smaller id
@@ -207,3 +206,90 @@ def test_padding_with_negative_scores(spark):
         want = sorted((-plain.get((q, d), 0.0), d) for d in range(1, 8))[:3]
         got = [(-r["score"], r["document_id"]) for r in hits if r["query_id"] == q]
         assert got == want
+
+
+def test_blocks_are_skipped(spark, monkeypatch):
+    """Each document has words of its own block: a query looks into few blocks and misses nothing."""
+    monkeypatch.setattr(blocks, "POSTING_BLOCK", 200)
+    texts = [" ".join(["common"] + [f"t{i // 8}"] * 3 + [f"u{i}"] * (i % 5 + 1) + ["x"] * (i % 40)) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "document_id long, text string")
+    asked = [(q, f"u{q} t{q // 8} common") for q in range(0, 400, 20)]
+    queries = spark.createDataFrame(asked, "query_id long, text string")
+    index, visits = lexical.lexical_index(docs), []
+    visited = blocks._visited
+
+    def counted(postings, pairs, n_blocks, *rest):
+        visits.append((pairs.select("query_id", "block").distinct().count(), n_blocks))
+        return visited(postings, pairs, n_blocks, *rest)
+
+    monkeypatch.setattr(blocks, "_visited", counted)
+    monkeypatch.setattr(lexical, "shared_cut", lambda *_: None)
+    got = lexical.bm25_search(queries, index, 2).collect()
+    assert sum(n for n, _ in visits) < len(asked) * visits[0][1] / 2
+    monkeypatch.setattr(blocks, "SEED_BLOCKS", 10_000)  # everything is visited
+    assert sorted(got) == sorted(lexical.bm25_search(queries, index, 2).collect())
+    assert {r["query_id"]: r["document_id"] for r in got if r["rank"] == 1} == {q: q for q, _ in asked}
+
+
+def test_vector_blocks_are_skipped(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    middles = rng.normal(size=(12, 16)) * 4
+    matrix = np.repeat(middles, 40, axis=0) + rng.normal(size=(480, 16)) * 0.1
+    matrix[5] = 0.0
+    rows = [(i, v.tolist()) for i, v in enumerate(matrix)]
+    corpus = spark.createDataFrame(rows, "document_id bigint, embedding array<double>")
+    asked = spark.createDataFrame(rows[::30], "query_id bigint, embedding array<double>")
+    visits, visited = [], blocks._visited
+
+    def counted(vectors, pairs, n_blocks, *rest):
+        visits.append((pairs.select("query_id", "block").distinct().count(), n_blocks))
+        return visited(vectors, pairs, n_blocks, *rest)
+
+    monkeypatch.setattr(blocks, "_visited", counted)
+    got = {}
+    for r in dense.dense_search(asked, corpus, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["document_id"], r["score"]))
+    for q in range(0, 480, 30):
+        same(got[q], best(dict(enumerate(matrix @ matrix[q])), 5))
+    assert sum(n for n, _ in visits) < 16 * visits[0][1] / 2
+
+
+def test_shared_parts_against_blocks(spark, monkeypatch):
+    """Queries from a template: the same hits with and without sharing, and few matches."""
+    rng = random.Random(11)
+    docs = [(i, " ".join(rng.choices(["cost", "fuel", "toll", "week", "north", "south", *WORDS], k=25))) for i in range(120)]
+    docs = spark.createDataFrame(docs, "document_id long, text string")
+    asked = [(q, f"cost fuel toll week {'north' if q % 2 else 'south'} w{q} w{q // 3}") for q in range(36)]
+    queries = spark.createDataFrame(asked, "query_id long, text string")
+    index, cuts = lexical.lexical_index(docs), []
+    choose = lexical.shared_cut
+    monkeypatch.setattr(shared, "LEAST_GAIN", 2)
+    monkeypatch.setattr(lexical, "shared_cut", lambda *a: cuts.append(choose(*a)) or cuts[-1])
+    frame = lexical.bm25_search(queries, index, 6)
+    plan = frame._jdf.queryExecution().toString()
+    assert cuts == [16] and "MapInArrow" not in plan and "Nested" not in plan and "Cartesian" not in plan
+    monkeypatch.setattr(lexical, "shared_cut", lambda *_: None)
+    plain = per_row(lexical.bm25_search(queries, index, 6))
+    assert per_row(frame) == plain
+
+
+def per_row(hits):
+    return {(r["query_id"], r["rank"]): (r["document_id"], round(r["score"], 6)) for r in hits.collect()}
+
+
+def test_padding_over_ranges(spark, monkeypatch):
+    """Free ids before, between and behind ranges that are matched wholly, partly and not at all."""
+    monkeypatch.setattr(lexical, "ID_RANGE", 4)
+    words = {i: "a b" if i < 8 or i in (13, 14) else "b" if i < 13 else "c" for i in range(30)}
+    docs = spark.createDataFrame([(i, words[i]) for i in range(30)], "document_id long, text string")
+    queries = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "a b c"), (5, "d")], "query_id long, text string")
+    index = lexical.lexical_index(docs)
+    hits = lexical.bm25_search(queries, index, 3)
+    frame = lexical.unmatched(lexical.query_terms(queries, index.tokens), hits.filter("score > 100"), index, 6)
+    assert "CartesianProduct" not in frame._jdf.queryExecution().toString()
+    got = {}
+    for r in frame.collect():
+        got.setdefault(r["query_id"], set()).add(r["document_id"])
+    for q, text in ((1, "a"), (2, "b"), (3, "c"), (4, "abc"), (5, "d")):
+        free = [i for i in range(30) if not set(text) & set(words[i].split())]
+        assert got.get(q, set()) == set(free[:6])
