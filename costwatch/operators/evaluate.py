@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from costwatch import settings
-from costwatch.functions.text import tokenize
+from costwatch.functions.text import let, tokenize
 from costwatch.operators.evidence import with_pair_flags, with_text_flags
 from costwatch.operators.lexical import LexicalIndex
 from costwatch.operators.ranking import top_k
+from costwatch.staging import join_side, stage
 
 
 def one_per_note_id(notes: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -143,16 +144,61 @@ def retrieval_recall(hits: DataFrame, truth: DataFrame, k: int) -> DataFrame:
     )
 
 
+GRAM = 3  # characters of a fingerprint
+
+
+def character_grams(text: Column, n: int) -> Column:
+    """The distinct runs of `n` characters of a text."""
+
+    def runs(chars: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(chars) - n + 1)
+        grams = F.transform(at, lambda i: F.concat(*[F.get(chars, i - 1 + k) for k in range(n)]))
+        return F.when(F.size(chars) >= n, F.array_distinct(grams))
+
+    return let(F.split(text, ""), runs)
+
+
+def gram_matches(parts: DataFrame, texts: DataFrame, text_col: str) -> DataFrame:
+    """Rows of `texts` with the rows of `parts` (query_id, part) that may lie in their text.
+
+    A text that holds a part holds its runs of `GRAM` characters (a shorter part: the part). Of a
+    part's runs the one that is rarest among the texts is its fingerprint, joined to theirs:
+    only runs that some part has are looked at, and nothing is compared with everything. An
+    empty part lies in every text, and its fingerprint is the empty run.
+    """
+    length = F.least(F.char_length("part"), F.lit(GRAM))
+    by_length = [F.when(length == n, character_grams(F.col("part"), n)) for n in range(1, GRAM + 1)]
+    grams = F.coalesce(*by_length, F.array(F.lit("")))
+    asked = stage(parts.select("query_id", "part", F.explode(grams).alias("gram")), "part_grams")
+    known = join_side(stage(asked.select("gram").distinct(), "asked_grams"))
+    text = F.col(text_col)
+    every = [F.coalesce(character_grams(text, n), F.array().cast("array<string>")) for n in range(1, GRAM + 1)]
+    keys = [c for c in texts.columns if c != text_col]
+    held = texts.filter(text.isNotNull()).select(*keys, F.explode(F.concat(F.array(F.lit("")), *every)).alias("gram"))
+    held = stage(held.join(known, "gram", "left_semi"), "held_grams")
+    seen = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = (
+        asked.join(seen, "gram")
+        .groupBy("query_id", "part")
+        .agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"), F.count(F.lit(1)).alias("known"))
+    )
+    # a part with a run that no text holds is in none
+    all_runs = asked.groupBy("query_id", "part").agg(F.count(F.lit(1)).alias("known"))
+    rarest = rarest.join(all_runs, ["query_id", "part", "known"], "left_semi")
+    return rarest.select("query_id", "part", "gram").join(held, "gram").drop("gram")
+
+
 def contained_passages(queries: DataFrame, docs: DataFrame, index: LexicalIndex) -> DataFrame:
     """(query_id, document_id) where the document holds the query text verbatim.
 
     A document that holds the text holds its inner tokens whole, so each query is joined on
     its rarest inner token and the few documents found are checked. Queries of one or two tokens
     have no inner token: the documents to check are those with a token that holds their first
-    one, found among the distinct terms. Queries without a token are looked for in all documents.
+    one, found by character runs among the distinct terms. Queries without a token are found by
+    character runs of the documents.
     """
     words = tokenize(F.col("text"))
-    asked = queries.filter("text is not null").withColumn("_words", words)
+    asked = stage(queries.filter("text is not null").withColumn("_words", words), "passages")
     inner = F.slice("_words", 2, F.greatest(F.size("_words") - 2, F.lit(0)))
     anchors = (
         asked.select("query_id", F.explode(F.array_distinct(inner)).alias("term"))
@@ -160,24 +206,21 @@ def contained_passages(queries: DataFrame, docs: DataFrame, index: LexicalIndex)
         .groupBy("query_id")
         .agg(F.min(F.struct("df", "term"))["term"].alias("term"))
     )
-    short = asked.filter(F.size("_words").between(1, 2)).select(
-        "query_id", F.col("_words")[0].alias("_part")
-    )
-    wider = short.join(index.terms.select("term"), F.contains("term", "_part")).select("query_id", "term")
-    suspects = (
-        anchors.unionByName(wider)
-        .join(index.postings.select("document_id", "term"), "term")
-        .select("query_id", "document_id")
-        .distinct()
-    )
     texts = docs.select("document_id", F.col("text").alias("_doc"))
-    found = (
-        suspects.join(texts, "document_id")
+    short = asked.filter(F.size("_words").between(1, 2)).select("query_id", F.col("_words")[0].alias("part"))
+    bare = asked.filter(F.size("_words") == 0).select("query_id", F.col("text").alias("part"))
+    suspects = anchors
+    if not short.isEmpty():
+        vocabulary = index.terms.select("term", F.col("term").alias("_term"))
+        wider = gram_matches(short, vocabulary, "_term").filter(F.contains("term", "part"))
+        suspects = anchors.unionByName(wider.select("query_id", "term"))
+    suspects = suspects.join(index.postings.select("document_id", "term"), "term").select("query_id", "document_id")
+    if not bare.isEmpty():
+        suspects = suspects.unionByName(gram_matches(bare, texts, "_doc").select("query_id", "document_id"))
+    return (
+        suspects.distinct()
+        .join(texts, "document_id")
         .join(asked.select("query_id", F.col("text").alias("_query")), "query_id")
         .filter(F.contains("_doc", "_query"))
         .select("query_id", "document_id")
     )
-    bare = asked.filter(F.size("_words") == 0).select("query_id", F.col("text").alias("_query"))
-    return found.unionByName(
-        bare.join(texts, F.contains("_doc", "_query")).select("query_id", "document_id")
-    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costwatch.functions.rules import date_matches, route_matches, route_matches_lenient
@@ -91,36 +91,48 @@ def note_weeks(notes: DataFrame, days: int) -> DataFrame:
     )
 
 
-def match_evidence(
-    route_weeks: DataFrame, notes: DataFrame, days: int = NOTE_WINDOW_DAYS, k: int = TOP_K
-) -> DataFrame:
-    """The `k` best notes of each route-week (Mondays) among those that fit route and date.
+def note_order(*scores: Column) -> list[Column]:
+    """Usable notes first, then by given scores, distance in days and id."""
+    return [F.col("_usable").desc(), *scores, F.col("days_apart").asc(), F.col("note_id").asc()]
 
-    Order: notes that justify a rise first, then by distance in days, then by id. The order
-    does not depend on the route-week beyond its key, so notes are cut to `k` per route and
-    week, and notes for all routes to `k` per week, before the join: a route-week meets at
-    most `2 k` notes, and no pair that cannot be among its best is ever built. `notes` needs
-    note_date, applies_to, note_id, snippet and the text flags.
+
+def matching_notes(route_weeks: DataFrame, notes: DataFrame, days: int, k: int) -> DataFrame:
+    """Pairs of route-weeks (Mondays) and notes that fit route and date, at most `2 k` of each.
+
+    Notes that justify a rise come first, then the nearest, then by id. That order does not
+    depend on the route-week beyond its key, so notes are cut to `k` per route and week, and
+    notes for all routes to `k` per week, before the join: no pair beyond those is ever built.
+    `notes` needs note_date, applies_to, note_id and the text flags.
     """
     eligible = note_weeks(notes, days).withColumn(
         "_usable", F.col("positive_evidence") & ~F.col("negative_evidence")
     )
-    order = [F.col("_usable").desc(), F.col("days_apart").asc(), F.col("note_id").asc()]
     wildcard = F.lower(strip(F.col("applies_to"))) == ALL_ROUTES
     keys = route_weeks.select("route", "week_of", strip(F.col("route")).alias("_route"))
     own = top_k(
         eligible.filter(~wildcard).withColumn("_route", strip(F.col("applies_to"))),
         k,
-        order,
+        note_order(),
         group=["_route", "week_of"],
     ).drop("rank")
-    everywhere = top_k(eligible.filter(wildcard), k, order, group=["week_of"]).drop("rank")
-    pairs = (
+    everywhere = top_k(eligible.filter(wildcard), k, note_order(), group=["week_of"]).drop("rank")
+    return (
         keys.join(own, ["_route", "week_of"])
         .drop("_route")
         .unionByName(keys.drop("_route").join(everywhere, "week_of"))
     )
-    ranked = top_k(pairs, k, order, group=["route", "week_of"])
+
+
+def match_evidence(
+    route_weeks: DataFrame, notes: DataFrame, days: int = NOTE_WINDOW_DAYS, k: int = TOP_K
+) -> DataFrame:
+    """The `k` first notes of each route-week among those that fit route and date, unscored.
+
+    Order: notes that justify a rise first, then by distance in days, then by id. `notes` needs
+    note_date, applies_to, note_id, snippet and the text flags.
+    """
+    pairs = matching_notes(route_weeks, notes, days, k)
+    ranked = top_k(pairs, k, note_order(), group=["route", "week_of"])
     return with_pair_flags(ranked, days).select(*EVIDENCE_COLUMNS)
 
 

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from costwatch import settings
 from costwatch.functions.measures import decimal_text
 from costwatch.functions.text import strip, word_count
 from costwatch.operators.verdict import default_explanation
-from costwatch.staging import stage
+from costwatch.staging import absolute, fresh_path, stage
 
 GROUND_RULES = (
     "Explain the cost rise below in one or two sentences. Use only the figures and the note "
@@ -26,6 +30,9 @@ ANSWER_RULES = (
 )
 
 
+NAMED = [("route", "route"), ("week_of", "week"), ("note_id", "note")]  # what an answer names of its evidence
+
+
 def _percent(name: str) -> Column:
     return F.when(F.col(name).isNull(), "N/A").otherwise(
         F.concat(F.when(F.col(name) < 0, "-").otherwise(""), decimal_text(F.abs(name), 1), F.lit("%"))
@@ -71,14 +78,12 @@ def qa_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFr
         *[F.concat(F.lit(f"{c}: "), c) for c in described],
         F.col("text"),
     )
+    told = [F.when(F.col(c) != "", F.concat(F.lit(f"{name} "), c)) for c, name in NAMED if c in docs.columns]
+    entry = F.struct("rank", "document_id", block.alias("block"), F.concat_ws(", ", *told).alias("named"))
     blocks = (
         hits.join(docs, "document_id")
         .groupBy("query_id")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("rank", "document_id", block.alias("block")))
-            ).alias("_blocks")
-        )
+        .agg(F.array_sort(F.collect_list(entry)).alias("_blocks"))
     )
     evidence = F.array_join(F.transform("_blocks", lambda b: b["block"]), "\n\n")
     prompt = F.concat_ws(
@@ -89,6 +94,7 @@ def qa_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFr
         "query_id",
         F.coalesce(F.size("_blocks"), F.lit(0)).cast("bigint").alias("n_evidence"),
         F.col("_blocks")[0]["document_id"].cast("string").alias("best_document"),
+        F.col("_blocks")[0]["named"].alias("best_evidence"),
         F.when(F.col("_blocks").isNotNull(), prompt).alias("prompt"),
     )
 
@@ -96,39 +102,63 @@ def qa_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFr
 BATCH_SIZE = 32
 
 
-def _generate(
-    prompts: DataFrame, out: str, generator: Callable, batch_size: int = BATCH_SIZE
-) -> DataFrame:
-    """Run an own generator, a function from a list of prompts to a list of dicts with
-    `text`, `input_tokens` and `output_tokens`, on the executors, `batch_size` prompts a call."""
-    names = prompts.columns
+ANSWERED = "prompt_hash string, made string, input_tokens bigint, output_tokens bigint"
 
-    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _answers(prompts: DataFrame, generator: Callable, batch_size: int, folder: str) -> DataFrame:
+    """Answers (`ANSWERED`) to all prompts: those that `folder` has, and others that are asked.
+
+    Each answered batch is a file there, renamed into place when it is whole. Batches are runs of
+    prompts in order of their hashes, so a repeated task meets the files of its lost attempt and
+    asks only what is missing; a second run leaves out every prompt that has an answer.
+    """
+    spark = prompts.sparkSession
+    folder = absolute(spark, folder)
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    answered = spark.read.schema(ANSWERED).parquet(folder)
+    hashed = prompts.select("prompt", F.sha2("prompt", 256).alias("prompt_hash")).distinct()
+    missing = hashed.join(answered.select("prompt_hash"), "prompt_hash", "left_anti")
+    missing = missing.repartition("prompt_hash").sortWithinPartitions("prompt_hash")
+
+    def ask(frame: pd.DataFrame) -> pa.Table:
+        made = pd.DataFrame(generator(list(frame["prompt"])), index=frame.index)
+        texts = made["text"].fillna("").str.strip()
+        if (texts == "").any():
+            raise ValueError("the generator returned an empty text")
+        counts = {c: pa.array(made[c].astype("int64")) for c in ("input_tokens", "output_tokens")}
+        return pa.table({"prompt_hash": pa.array(frame["prompt_hash"]), "made": pa.array(texts), **counts})
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = fs.FileSystem.from_uri(folder)
         for frame in frames:
             for at in range(0, len(frame), batch_size):
-                yield frame.iloc[at : at + batch_size]
+                part = frame.iloc[at : at + batch_size]
+                name = hashlib.sha256("".join(part["prompt_hash"]).encode()).hexdigest()
+                done = f"{root}/{name}.parquet"
+                if store.get_file_info(done).type == fs.FileType.NotFound:
+                    unfinished = f"{root}/_{name}-{uuid.uuid4().hex}"  # Spark reads no such names
+                    pq.write_table(ask(part), unfinished, filesystem=store)
+                    store.move(unfinished, done)
+                yield pq.read_table(done, filesystem=store, partitioning=None).to_pandas()
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in parts(frames):
-            made = pd.DataFrame(generator(list(frame["prompt"])), index=frame.index)
-            texts = made["text"].fillna("").str.strip()
-            if (texts == "").any():
-                raise ValueError("the generator returned an empty text")
-            yield frame[names].assign(
-                **{out: texts},
-                input_tokens=made["input_tokens"],
-                output_tokens=made["output_tokens"],
-            )
-
-    schema = T.StructType(
-        [
-            *prompts.schema.fields,
-            T.StructField(out, T.StringType()),
-            T.StructField("input_tokens", T.LongType()),
-            T.StructField("output_tokens", T.LongType()),
-        ]
+    asked = missing.mapInPandas(batches, ANSWERED)
+    return answered.dropDuplicates(["prompt_hash"]).unionByName(asked)
+
+
+def _generate(
+    prompts: DataFrame, out: str, generator: Callable, batch_size: int = BATCH_SIZE, answers: str | None = None
+) -> DataFrame:
+    """Run an own generator, a function from a list of prompts to a list of dicts with
+    `text`, `input_tokens` and `output_tokens`, on the executors, `batch_size` prompts a call.
+
+    `answers` is a shared folder for answers that later runs go on from; default: a new one.
+    """
+    found = _answers(prompts, generator, batch_size, answers or fresh_path(prompts.sparkSession, "answers"))
+    keyed = prompts.withColumn("prompt_hash", F.sha2("prompt", 256))
+    return keyed.join(found, "prompt_hash").select(
+        *prompts.columns, F.col("made").alias(out), "input_tokens", "output_tokens"
     )
-    return prompts.mapInPandas(batches, schema)
 
 
 def _fill(prompts: DataFrame, out: str, text: Column) -> DataFrame:
@@ -139,26 +169,37 @@ def _fill(prompts: DataFrame, out: str, text: Column) -> DataFrame:
 
 
 def explain(
-    prompts: DataFrame, generator: Callable | None = None, batch_size: int = BATCH_SIZE
+    prompts: DataFrame,
+    generator: Callable | None = None,
+    batch_size: int = BATCH_SIZE,
+    answers: str | None = None,
 ) -> DataFrame:
     """Reason and token counts per prompt; an empty text is an error.
 
-    Default: a sentence built from the row. Tokens are words then.
+    Default: a sentence built from the row. Tokens are words then. With a generator, answers are
+    kept in the folder `answers`, and a prompt that has one there is not asked again.
     """
     if generator is not None:
-        return _generate(prompts, "reason", generator, batch_size)
+        return _generate(prompts, "reason", generator, batch_size, answers)
     return _fill(prompts, "reason", default_explanation())
 
 
 def answer(
-    prompts: DataFrame, generator: Callable | None = None, batch_size: int = BATCH_SIZE
+    prompts: DataFrame,
+    generator: Callable | None = None,
+    batch_size: int = BATCH_SIZE,
+    answers: str | None = None,
 ) -> DataFrame:
-    """Answer and token counts per question; one without evidence gets a fixed answer, free."""
+    """Answer and token counts per question; one without evidence gets a fixed answer, free.
+
+    Default: the best piece of evidence with its route, week and note.
+    """
     none = F.lit(settings.NO_EVIDENCE_ANSWER)
     if generator is None:
+        named = F.when(F.col("best_evidence") != "", F.concat(F.lit(" ("), "best_evidence", F.lit(")")))
         best = F.concat(
-            F.lit("Best of "), F.col("n_evidence").cast("string"),
-            F.lit(" pieces of evidence: "), "best_document", F.lit("."),
+            F.lit("Best of "), F.col("n_evidence").cast("string"), F.lit(" pieces of evidence: "),
+            "best_document", F.coalesce(named, F.lit("")), F.lit("."),
         )
         found = F.col("prompt").isNotNull()
         filled = _fill(prompts, "answer", F.when(found, best).otherwise(none))
@@ -173,7 +214,7 @@ def answer(
         }
     )
     asked = prompts.filter("prompt is not null")
-    return _generate(asked, "answer", generator, batch_size).unionByName(free)
+    return _generate(asked, "answer", generator, batch_size, answers).unionByName(free)
 
 
 def usage_cost(

@@ -9,17 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costwatch.functions.text import bigrams, tokenize
-from costwatch.operators.corpus import note_docs, retrieval_queries
+from costwatch.operators.corpus import note_docs, retrieval_queries, route_week_id
 from costwatch.operators.dense import dense_search, encode
 from costwatch.operators.evidence import (
     EVIDENCE_COLUMNS,
-    match_evidence,
+    matching_notes,
+    note_order,
     with_pair_flags,
     with_snippet,
     with_text_flags,
 )
 from costwatch.operators.lexical import LexicalIndex, bm25_search, lexical_index, query_terms
-from costwatch.operators.ranking import SCORE_DECIMALS, best_hits, minmax_normalize
+from costwatch.operators.ranking import SCORE_DECIMALS, best_hits, minmax_normalize, top_k
 from costwatch.settings import (
     CANDIDATE_K,
     DENSE_WEIGHT,
@@ -27,7 +28,7 @@ from costwatch.settings import (
     NOTE_WINDOW_DAYS,
     TOP_K,
 )
-from costwatch.staging import stage
+from costwatch.staging import join_side, stage
 
 BIGRAM_WEIGHT = 0.5
 
@@ -84,50 +85,73 @@ def rerank(
     k: int = TOP_K,
     scorer: Callable[[pd.Series, pd.Series], pd.Series] | None = None,
 ) -> DataFrame:
-    """Score each hit on its two whole texts and rank again.
+    """Score each hit on its two whole texts and rank again; the hits' own scores stay.
 
     Default: idf-weighted share of the query's terms that the document holds, plus half the
-    share of its word pairs. An own `scorer` maps query and document texts to scores.
+    share of its word pairs, from postings and a table of pairs. An own `scorer` maps query and
+    document texts to scores; only for it texts are joined to the hits.
     """
-    pairs = hits.select("query_id", "document_id").join(
-        docs.select("document_id", F.col("text").alias("_doc")), "document_id"
-    )
+    scored = scored_hits(hits.drop("rank"), queries, docs, index, scorer)
+    return best_hits(scored, "rerank_score", k)
+
+
+def scored_hits(
+    hits: DataFrame, queries: DataFrame, docs: DataFrame, index: LexicalIndex, scorer: Callable | None = None
+) -> DataFrame:
+    """`hits` with `rerank_score`."""
+    pairs = stage(hits, "hits_to_rerank")
     if scorer is not None:
-        pairs = pairs.join(queries.select("query_id", F.col("text").alias("_query")), "query_id")
+        texts = docs.select("document_id", F.col("text").alias("_doc"))
+        asked = queries.select("query_id", F.col("text").alias("_query"))
         score = F.pandas_udf(scorer, "double")(F.col("_query"), F.col("_doc"))
+        scored = pairs.join(texts, "document_id").join(asked, "query_id").withColumn("_score", score)
     else:
-        asked = queries.select(
-            "query_id", F.array_distinct(bigrams(tokenize(F.col("text")))).alias("_pairs")
-        )
-        pairs = pairs.join(asked, "query_id").join(
-            _query_weights(queries, index), "query_id", "left"
-        )
-        pairs = pairs.withColumn("_words", tokenize(F.col("_doc")))
-        covered = F.aggregate(
-            F.array_intersect(F.map_keys("_idf"), "_words"),
-            F.lit(0.0),
-            lambda total, term: total + F.col("_idf")[term],
-        )
-        shared = F.size(F.array_intersect("_pairs", bigrams(F.col("_words"))))
-        shared = shared / F.greatest(F.size("_pairs"), F.lit(1))
-        score = F.coalesce(covered / F.col("_idf_sum"), F.lit(0.0)) + BIGRAM_WEIGHT * shared
-    scored = pairs.withColumn("rerank_score", F.round(score, SCORE_DECIMALS))
-    return best_hits(scored.select("query_id", "document_id", "rerank_score"), "rerank_score", k)
+        scored = pairs.join(pair_scores(pairs, queries, docs, index), ["query_id", "document_id"])
+    return scored.select(*pairs.columns, F.round("_score", SCORE_DECIMALS).alias("rerank_score"))
+
+
+def pair_scores(pairs: DataFrame, queries: DataFrame, docs: DataFrame, index: LexicalIndex) -> DataFrame:
+    """(query_id, document_id, _score) of written pairs, from terms and word pairs that match.
+
+    No text leaves its row: documents of the pairs are found by their ids, and of their word
+    pairs only those that a query holds are kept.
+    """
+    wanted = stage(pairs.select("document_id").distinct(), "documents_to_rerank")
+    of_pairs = lambda frame: frame.join(join_side(wanted), "document_id", "left_semi")
+    key = ["query_id", "document_id"]
+
+    weights = stage(_query_weights(queries, index), "query_weights")
+    held = of_pairs(index.counted).select("document_id", F.explode("counts.term").alias("term"))
+    held = held.join(weights.select("term").distinct(), "term", "left_semi")
+    covered = pairs.select(*key).join(weights, "query_id").join(held, ["document_id", "term"])
+    covered = covered.groupBy(*key).agg(F.sum("idf").alias("_covered"))
+
+    word_pairs = lambda c: F.array_distinct(bigrams(tokenize(F.col(c))))
+    asked = queries.select("query_id", word_pairs("text").alias("_pairs"))
+    per_query = asked.select("query_id", F.coalesce(F.size("_pairs"), F.lit(0)).alias("_n_pairs")).join(
+        weights.groupBy("query_id").agg(F.sum("idf").alias("_idf_sum")), "query_id", "left"
+    )
+    asked = asked.select("query_id", F.explode("_pairs").alias("pair"))
+    found = of_pairs(docs).select("document_id", F.explode(word_pairs("text")).alias("pair"))
+    found = found.join(asked.select("pair").distinct(), "pair", "left_semi")
+    shared = pairs.select(*key).join(asked, "query_id").join(found, ["document_id", "pair"])
+    shared = shared.groupBy(*key).agg(F.count(F.lit(1)).alias("_shared"))
+
+    scored = pairs.select(*key).join(per_query, "query_id").join(covered, key, "left").join(shared, key, "left")
+    share = F.coalesce("_shared", F.lit(0)) / F.greatest("_n_pairs", F.lit(1))
+    coverage = F.coalesce(F.col("_covered") / F.col("_idf_sum"), F.lit(0.0))
+    return scored.select(*key, (coverage + BIGRAM_WEIGHT * share).alias("_score"))
 
 
 def _query_weights(queries: DataFrame, index: LexicalIndex) -> DataFrame:
-    """Per query a map from each of its terms to ln(1 + (N - df + 0.5) / (df + 0.5))."""
+    """(query_id, term, idf) with ln(1 + (N - df + 0.5) / (df + 0.5)) for each term of a query."""
     n = index.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
     df = F.coalesce("df", F.lit(0))
-    weighted = (
+    return (
         query_terms(queries, index.tokens)
         .join(index.terms, "term", "left")
         .select("query_id", "term", F.log(1 + (n - df + 0.5) / (df + 0.5)).alias("idf"))
     )
-    return weighted.groupBy("query_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "idf"))).alias("_idf"),
-        F.sum("idf").alias("_idf_sum"),
-    )
 
 
 def retrieve_evidence(
@@ -140,19 +164,24 @@ def retrieve_evidence(
     encoder: Callable | None = None,
     scorer: Callable | None = None,
 ) -> DataFrame:
-    """Up to `k` ranked notes per route-week, each with its rule flags.
+    """Up to `k` ranked notes per route-week, each with its rule flags and scores.
 
     `post` ranks all notes by hybrid search and reranking and then checks the rules, so a
     valid note outside the best `k` is not seen. `pre` joins on route and date first and
-    ranks what fits. Stages the documents and, for `post`, queries, vectors and index.
+    ranks what fits: usable notes first, then by their rerank score. Stages documents, queries
+    and index, for `post` vectors too.
     """
     if strategy not in ("pre", "post"):
         raise ValueError(f"unknown strategy {strategy!r}")
     docs = stage(with_snippet(with_text_flags(note_docs(notes), "text")), "note_docs")
-    if strategy == "pre":
-        return match_evidence(route_weeks, docs, days, k)
     queries = stage(retrieval_queries(route_weeks), "queries")
     index = lexical_index(docs)
+    if strategy == "pre":
+        pairs = matching_notes(queries, docs.drop("text"), days, k).withColumn("query_id", route_week_id())
+        scored = scored_hits(pairs, queries, docs, index, scorer)
+        order = note_order(F.col("rerank_score").desc())
+        ranked = top_k(scored, k, order, group=["route", "week_of"])
+        return with_pair_flags(ranked, days).select(*EVIDENCE_COLUMNS, "rerank_score")
     vectors = stage(encode(docs, "document_id", encoder=encoder), "vectors")
     asked = stage(encode(queries, "query_id", encoder=encoder), "query_vectors")
     hits = hybrid_search(queries, asked, index, vectors, k, candidate_k)
@@ -160,4 +189,5 @@ def retrieve_evidence(
     found = ranked.join(docs.drop("text"), "document_id").join(
         queries.select("query_id", "route", "week_of"), "query_id"
     )
-    return with_pair_flags(found, days).select(*EVIDENCE_COLUMNS)
+    scores = ["rerank_score", "hybrid_score", "dense_score", "lexical_score"]
+    return with_pair_flags(found, days).select(*EVIDENCE_COLUMNS, *scores)

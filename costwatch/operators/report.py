@@ -17,6 +17,7 @@ from costwatch.functions.text import (
 )
 from costwatch.operators.evaluate import one_per_note_id
 from costwatch.operators.evidence import with_text_flags
+from costwatch.sources.files import CSV_WRITE
 
 ANY_ROUTE = "All Routes"
 ANY_STATUS = "All"
@@ -77,7 +78,7 @@ def filter_results(
 def export_view(results: DataFrame, route: str, status: str, path: str) -> None:
     """Filtered rows as CSV files."""
     filter_results(results, route, status).write.csv(
-        path, mode="overwrite", header=True, escape='"', emptyValue=""
+        path, mode="overwrite", **CSV_WRITE
     )
 
 

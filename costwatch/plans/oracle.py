@@ -7,12 +7,13 @@ jobs use a form that scales.
 
 from __future__ import annotations
 
+import re
+
 from costwatch import settings
 from costwatch.functions.text import LEXICAL_TOKEN, WORD_TOKEN
 from costwatch.plans.queries import STOP_WORDS
 from costwatch.sources.mapping import NOTE_SENTENCES
 
-
 WHITESPACE = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -169,17 +170,6 @@ FROM (SELECT *, split_part(split_part(text, '{settings.NOTE_MARKER}', 2), '.', 1
 _PAIR_FLAGS = f"""coalesce(trim(applies_to) = trim(route) OR lower(trim(applies_to)) = '{settings.ALL_ROUTES}', false) AS route_match,
        coalesce(abs(note_date - week_of) <= {settings.NOTE_WINDOW_DAYS}, false) AS date_match"""
 
-CTES["evidence_pre"] = f"""
-SELECT * FROM (
-SELECT c.route, c.week_of, note_id, note_date, applies_to, snippet, true AS route_match, true AS date_match,
-       positive_evidence, negative_evidence, positive_evidence AND NOT negative_evidence AS evidence_valid,
-       row_number() OVER (PARTITION BY c.route, c.week_of
-           ORDER BY (positive_evidence AND NOT negative_evidence) DESC, abs(note_date - c.week_of), note_id) AS rank
-FROM candidates c JOIN flagged_docs n
-  ON abs(n.note_date - c.week_of) <= {settings.NOTE_WINDOW_DAYS}
- AND (n.applies_to = c.route OR lower(n.applies_to) = '{settings.ALL_ROUTES}'))
-WHERE rank <= {settings.TOP_K}"""
-
 CTES["candidate_queries"] = f"""
 SELECT route || '|' || CAST(week_of AS VARCHAR) AS query_id, route, week_of,
        {fill(settings.QUERY_FORMAT, "route", "CAST(week_of AS VARCHAR)", "printf('%.6f', cost_per_tonne_km)")} AS text
@@ -298,6 +288,39 @@ JOIN query_pairs USING (query_id) JOIN doc_pairs USING (document_id)""",
     }
 
 
+def prefixed(ctes: dict, prefix: str) -> dict:
+    """The same CTEs under names of their own."""
+    names = "|".join(ctes)
+    return {prefix + k: re.sub(rf"\b({names})\b", rf"{prefix}\1", sql) for k, sql in ctes.items()}
+
+
+_USABLE = "positive_evidence AND NOT negative_evidence"
+CTES |= prefixed(
+    {
+        **{k: v for k, v in lexical_ctes("note_documents", "candidate_queries").items()
+           if k in ("lengths", "stats", "postings", "dfs", "qterms")},
+        "hybrid": f"""
+SELECT * FROM (
+SELECT q.query_id, q.route, q.week_of, n.document_id, row_number() OVER (
+    PARTITION BY q.route, q.week_of, lower(n.applies_to) = '{settings.ALL_ROUTES}'
+    ORDER BY ({_USABLE}) DESC, abs(note_date - q.week_of), note_id) AS place
+FROM candidate_queries q JOIN flagged_docs n
+  ON abs(n.note_date - q.week_of) <= {settings.NOTE_WINDOW_DAYS}
+ AND (n.applies_to = q.route OR lower(n.applies_to) = '{settings.ALL_ROUTES}'))
+WHERE place <= {settings.TOP_K}""",
+        **{k: v for k, v in rerank_ctes("candidate_queries", "note_documents").items() if k != "reranked"},
+    },
+    "pre_",
+)
+CTES["evidence_pre"] = f"""
+SELECT * FROM (
+SELECT route, week_of, note_id, note_date, applies_to, snippet, true AS route_match, true AS date_match,
+       positive_evidence, negative_evidence, {_USABLE} AS evidence_valid, rerank_score,
+       row_number() OVER (PARTITION BY route, week_of
+           ORDER BY ({_USABLE}) DESC, rerank_score DESC, abs(note_date - week_of), note_id) AS rank
+FROM pre_hybrid JOIN pre_reranked_all USING (query_id, document_id) JOIN flagged_docs USING (document_id))
+WHERE rank <= {settings.TOP_K}"""
+
 POST = {
     **lexical_ctes("note_documents", "candidate_queries", settings.CANDIDATE_K, pad=True),
     **encode_ctes("note_documents", "document_id", "doc_vectors"),
@@ -308,8 +331,9 @@ POST = {
     "evidence_post": f"""
 SELECT *, route_match AND date_match AND positive_evidence AND NOT negative_evidence AS evidence_valid FROM (
 SELECT route, week_of, rank, note_id, note_date, applies_to, snippet, {_PAIR_FLAGS},
-       positive_evidence, negative_evidence
-FROM reranked JOIN candidate_queries USING (query_id) JOIN flagged_docs USING (document_id))""",
+       positive_evidence, negative_evidence, rerank_score, hybrid_score, dense_score, lexical_score
+FROM reranked JOIN hybrid_all USING (query_id, document_id) JOIN candidate_queries USING (query_id)
+JOIN flagged_docs USING (document_id))""",
 }
 
 
@@ -357,7 +381,9 @@ FROM verdicts""",
 ROUTE_WEEKS = ["shipments", "prepared", "weekly", "scored"]
 CANDIDATES = [*ROUTE_WEEKS, "candidates"]
 NOTE_DOCS = ["notes", "note_documents"]
-PRE = [*CANDIDATES, *NOTE_DOCS, "flagged_docs", "evidence_pre"]
+PRE = [
+    *CANDIDATES, "candidate_queries", *NOTE_DOCS, "flagged_docs", *[c for c in CTES if c.startswith("pre_")], "evidence_pre",
+]
 
 
 def build(names: list[str], final: str, *more: dict) -> str:
@@ -691,10 +717,10 @@ WHERE week_of = (SELECT min(week_of) FROM weekly v WHERE v.route = w.route)""",
             ["notes", "flagged_notes"],
             "SELECT note_id, applies_to, positive_evidence, negative_evidence FROM flagged_notes",
         ),
-        "retrieve_evidence_pre": build(PRE, f"SELECT {_EVIDENCE} FROM evidence_pre"),
+        "retrieve_evidence_pre": build(PRE, f"SELECT {_EVIDENCE}, {rounded('rerank_score')} FROM evidence_pre"),
         "retrieve_evidence_post": build(
             [*CANDIDATES, "candidate_queries", *NOTE_DOCS, "flagged_docs"],
-            f"SELECT {_EVIDENCE} FROM evidence_post",
+            f"SELECT {_EVIDENCE}, {rounded('rerank_score hybrid_score dense_score lexical_score')} FROM evidence_post",
             POST,
         ),
         "first_valid_note": build(
@@ -901,16 +927,20 @@ def _answers_sql() -> str:
         ]
     )
     return rf"""
-SELECT query_id, n_evidence,
-       CASE WHEN n_evidence > 0 THEN 'Best of ' || CAST(n_evidence AS VARCHAR) || ' pieces of evidence: ' || best || '.'
-            ELSE {quote(settings.NO_EVIDENCE_ANSWER)} END AS answer,
+SELECT query_id, n_evidence, answer,
        CASE WHEN n_evidence > 0 THEN CAST(len(regexp_extract_all(
             {quote(ANSWER_RULES)} || chr(10) || 'QUESTION ' || question || chr(10) || blocks, '\S+')) AS BIGINT) ELSE 0 END AS input_tokens,
-       CAST(CASE WHEN n_evidence > 0 THEN 7 ELSE 0 END AS BIGINT) AS output_tokens
-FROM (SELECT q.query_id, any_value(q.text) AS question, count(h.document_id) AS n_evidence,
-             min_by(h.document_id, h.rank) AS best, string_agg({block}, chr(10) ORDER BY h.rank) AS blocks
+       CASE WHEN n_evidence > 0 THEN CAST(len(regexp_extract_all(answer, '\S+')) AS BIGINT) ELSE 0 END AS output_tokens
+FROM (SELECT *, CASE WHEN n_evidence > 0 THEN 'Best of ' || CAST(n_evidence AS VARCHAR) || ' pieces of evidence: ' || best
+                || CASE WHEN named <> '' THEN ' (' || named || ')' ELSE '' END || '.'
+            ELSE {quote(settings.NO_EVIDENCE_ANSWER)} END AS answer FROM (
+      SELECT q.query_id, any_value(q.text) AS question, count(h.document_id) AS n_evidence,
+             min_by(h.document_id, h.rank) AS best, string_agg({block}, chr(10) ORDER BY h.rank) AS blocks,
+             min_by(concat_ws(', ', CASE WHEN d.route <> '' THEN 'route ' || d.route END,
+               CASE WHEN d.week_of <> '' THEN 'week ' || d.week_of END,
+               CASE WHEN d.note_id <> '' THEN 'note ' || d.note_id END), h.rank) AS named
       FROM questions q LEFT JOIN question_hits h ON h.query_id = q.query_id
-      LEFT JOIN qa_docs d ON d.document_id = h.document_id GROUP BY q.query_id)"""
+      LEFT JOIN qa_docs d ON d.document_id = h.document_id GROUP BY q.query_id))"""
 
 
 def _qa_prompts_sql() -> str:

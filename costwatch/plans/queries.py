@@ -474,7 +474,8 @@ def hybrid_topk(spark, sf_dir):
 def rerank_topk(spark, sf_dir):
     queries, asked, index, vectors = _hybrid_inputs(spark, sf_dir)
     hits = hybrid.hybrid_search(queries, asked, index, vectors)
-    return ranked(hybrid.rerank(hits, queries, mapping.corpus(spark, sf_dir), index))
+    best = hybrid.rerank(hits, queries, mapping.corpus(spark, sf_dir), index)
+    return ranked(best.select("query_id", "document_id", "rerank_score", "rank"))
 
 
 @query

@@ -43,6 +43,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/costwatch/{uuid.uuid4().hex}/{name}"
 
 
+def absolute(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and host, as tasks need it that open files on their own."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = store.makeQualified(folder).toString()
+    return found if found.startswith("file://") else found.replace("file:/", "file:///", 1)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete everything staged below the shared folder; for the owner of the folder, after use."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/costwatch")

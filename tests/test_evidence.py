@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from costwatch import settings
 from costwatch.operators import corpus, evaluate, evidence, explain, hybrid, report, verdict
 from costwatch.plans import assess
+from costwatch.sources import files
 
 NOTES = "note_id string, date date, applies_to string, note string"
 D = dt.date.fromisoformat
@@ -228,3 +229,71 @@ def test_assess_with_own_generator(spark):
     assert got[("A-B", "2025-01-27")] == ("No (justified)", "made")
     assert got[("A-C", "2025-01-27")] == ("Yes", settings.NO_NOTE_REASON)
     assert [r["input_tokens"] for r in done.calls.collect()] == [7]
+
+
+def _counting(folder, broken=None):
+    """A generator that leaves a file for each prompt it is asked, and may break on one."""
+
+    def generator(prompts):
+        import os
+        import uuid
+
+        for p in prompts:
+            open(os.path.join(folder, f"{p.replace(' ', '_')}-{uuid.uuid4().hex}"), "w").close()
+        if broken in prompts:
+            raise RuntimeError("lost")
+        return [{"text": f" to {p} ", "input_tokens": 1, "output_tokens": 2} for p in prompts]
+
+    return generator
+
+
+def test_answers_are_kept(spark, tmp_path):
+    """A task that fails costs its own batch only; later runs ask what has no answer."""
+    import os
+    from collections import Counter
+
+    asked, answers = str(tmp_path / "asked"), str(tmp_path / "answers")
+    os.mkdir(asked)
+    count = lambda: Counter(name.rpartition("-")[0] for name in os.listdir(asked))
+    rows = [(str(i), f"p {i % 20}") for i in range(25)]  # five prompts occur twice
+    prompts = spark.createDataFrame(rows, "route string, prompt string")
+    with pytest.raises(Exception, match="lost"):
+        explain.explain(prompts, _counting(asked, broken="p 3"), batch_size=1, answers=answers).collect()
+    first = count()
+    done = explain.explain(prompts, _counting(asked), batch_size=1, answers=answers).collect()
+    assert sorted((r["route"], r["reason"]) for r in done) == sorted((i, f"to {p}") for i, p in rows)
+    again = count()
+    assert set(again) == {f"p_{i}" for i in range(20)}
+    assert all(n == first.get(p, 0) + (1 if p == "p_3" or not first.get(p) else 0) for p, n in again.items())
+    more = prompts.unionByName(spark.createDataFrame([("x", "p new")], prompts.schema))
+    assert explain.explain(more, _counting(asked), batch_size=4, answers=answers).count() == 26
+    assert count() == again + Counter({"p_new": 1})
+    assert not [name for name in os.listdir(answers) if name.startswith("_")]
+
+
+def test_evidence_is_scored(spark):
+    """`pre` ranks fitting notes by their text, `post` keeps the scores of the search."""
+    scored = spark.createDataFrame(ROWS, SCORED).filter("is_candidate_anomaly")
+    notes = spark.createDataFrame(
+        [
+            ("N1", D("2025-01-06"), "A-B", "A surcharge came."),
+            ("N2", D("2025-01-08"), "A-B", "Freight cost surcharge for fuel, toll and weather disruption."),
+            ("N3", D("2025-01-06"), "all routes", "Cheap fuel, possible freight cost."),
+        ],
+        NOTES,
+    )
+    rows = hybrid.retrieve_evidence(scored.filter("route = 'A-B'"), notes, "pre").orderBy("rank").collect()
+    assert [r["note_id"] for r in rows] == ["N2", "N1", "N3"]  # usable first, then by score
+    assert rows[0]["rerank_score"] > rows[1]["rerank_score"] > 0
+    post = hybrid.retrieve_evidence(scored.filter("route = 'A-B'"), notes, "post").collect()
+    same = {r["note_id"]: r["rerank_score"] for r in post}
+    assert {r["note_id"]: r["rerank_score"] for r in rows} == pytest.approx(same)
+    assert all(0 <= r["hybrid_score"] <= 1 and r["dense_score"] is not None and r["lexical_score"] is not None for r in post)
+
+
+def test_export_keeps_blanks(spark, tmp_path):
+    rows = [("A-B", "2025-01-06", 1.0, "N/A", "N/A", "No", "", "  two blanks before and behind  ")]
+    kinds = ", ".join(f"{c} {'double' if c == 'cost_per_tonne_km' else 'string'}" for c in settings.RESULT_COLUMNS)
+    frame = spark.createDataFrame(rows, kinds)
+    report.export_view(frame, report.ANY_ROUTE, report.ANY_STATUS, str(tmp_path / "out"))
+    assert files.read_results(spark, str(tmp_path / "out")).first()["reason"] == rows[0][-1]

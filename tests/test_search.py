@@ -166,13 +166,17 @@ def test_rerank(spark, docs, queries):
     rows = hybrid.rerank(hits, queries, docs, index, 1).collect()
     got = {r["query_id"]: (r["document_id"], r["rerank_score"]) for r in rows}
     assert got[6] == (7, 1.5)  # every term and every pair is found
+    plan = hybrid.rerank(hits, queries, docs, index, 1)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.split("\n") if "Exchange hash" in line]
+    assert shuffled and "_doc" not in plan and not [line for line in shuffled if "text" in line]
     own = hybrid.rerank(hits, queries, docs, index, 1, scorer=lambda q, d: -d.str.len())
     assert own.filter("query_id = 2").count() == 1
 
 
 def test_contained_passages_and_recall(spark, docs):
     passages = spark.createDataFrame(
-        [(1, TEXTS[7][4:]), (2, "copy of one text"), (3, "copy of two text"), (4, "w1"), (5, "w1 w")],
+        [(1, TEXTS[7][4:]), (2, "copy of one text"), (3, "copy of two text"), (4, "w1"), (5, "w1 w"), (6, "opy of"),
+         (7, "--- !"), (8, "- "), (9, " "), (10, ""), (11, "??"), (12, "w1 zz"), (13, "--")],
         "query_id bigint, text string",
     )
     index = lexical.lexical_index(docs)
@@ -180,11 +184,15 @@ def test_contained_passages_and_recall(spark, docs):
     got = {(r["query_id"], r["document_id"]) for r in truth.collect()}
     expected = {
         (q, i)
-        for q, t in ((1, TEXTS[7][4:]), (2, "copy of one text"), (4, "w1"), (5, "w1 w"))
+        for q, t in [(r["query_id"], r["text"]) for r in passages.collect()]
         for i, d in DOCS
         if t in d
     }
     assert got == expected
+    plan = truth._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    passages = passages.filter("query_id <= 5")
+    truth = evaluate.contained_passages(passages, docs, index)
     hits = lexical.bm25_search(passages, index, 3)
     assert evaluate.retrieval_recall(hits, truth, 3).first().asDict() == {
         "queries": 4, "found": 4, "recall": 1.0,
