@@ -22,9 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from costwatch.functions.text import let
 from costwatch.llm.words import SPARK_WORD, mix
 from costwatch.staging import stage
 
@@ -246,24 +247,26 @@ def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: in
     """
     _, pieces = plan_mix(documents, block_words, seed)
     uses = (
-        pieces.groupBy("source_ix", "_start", "_uid", "size", "epoch")
+        pieces.groupBy("source_ix", F.col("source").alias("_source"), "_start", "_uid", "size", "epoch")
         .agg(F.array_sort(F.collect_list(F.struct("_low", "_high"))).alias("_ranges"))
         .drop("source_ix", "_start", "epoch")
     )
     used = F.aggregate("_ranges", F.lit(0).cast("long"), lambda n, r: n + r["_high"] - r["_low"])
     words = F.regexp_extract_all("text", F.lit(SPARK_WORD), F.lit(0))
-    part = F.array_join(
-        F.flatten(
-            F.transform(
-                "_ranges",
-                lambda r: F.slice(words, (r["_low"] + 1).cast("int"), (r["_high"] - r["_low"]).cast("int")),
-            )
-        ),
-        " ",
+
+    def cut_from(words: Column) -> Column:
+        count = lambda r: (r["_high"] - r["_low"]).cast("int")
+        parts = F.transform("_ranges", lambda r: F.slice(words, (r["_low"] + 1).cast("int"), count(r)))
+        return F.array_join(F.flatten(parts), " ")
+
+    part = let(words, cut_from)  # the words of a text are found once, not for each range
+    # The row travels as one column, so no name of the caller can meet one of these. One id and
+    # text may occur in several sources: each use takes a row of its own source.
+    texts = documents.select(
+        F.xxhash64("doc_id", "text").alias("_uid"), F.col("source").alias("_of_source"), F.struct("*").alias("_of"), "text"
     )
-    # The row travels as one column, so no name of the caller can meet one of these.
-    texts = documents.select(F.xxhash64("doc_id", "text").alias("_uid"), F.struct("*").alias("_of"), "text")
-    mixed = texts.dropDuplicates(["_uid"]).join(uses, "_uid")
+    same = (F.col("_uid") == F.col("_used")) & F.col("_source").eqNullSafe(F.col("_of_source"))
+    mixed = texts.dropDuplicates(["_uid", "_of_source"]).join(uses.withColumnRenamed("_uid", "_used"), same)
     text = F.when(used == F.col("size"), F.col("text")).otherwise(part)
     mixed = mixed.select("_of", text.alias("_new"))
     columns = {name: F.col("_of").getField(name) for name in documents.columns}

@@ -89,3 +89,24 @@ def test_documents_of_the_mix(spark):
         taken[r["doc_id"]] += r["taken"]
     assert {k: v for k, v in taken.items() if v} == dict(words)
     assert origin[True]
+
+
+def test_one_text_in_several_sources(spark):
+    """Words per source and document, with equal ids and texts in sources a, b and none."""
+    rng = random.Random(5)
+    shared = [(i, text(rng, rng.randint(5, 40)), "en") for i in range(20)]
+    rows = [(*r, s) for r in shared for s in ("a", "b", None)]
+    rows += [(100 + i, text(rng, 30), "en", "b") for i in range(60)]
+    frame = documents(spark, rows)
+    mixed = mixing.mix_documents(frame, 7).collect()
+    assert sorted(map(repr, mixed)) == sorted(map(repr, mixing.mix_documents(frame.repartition(5), 7).collect()))
+    taken, words = Counter(), Counter()
+    placed, pieces = mixing.plan_mix(frame, 7)
+    for r in pieces.collect():
+        taken[(r["source"], r["doc_id"])] += r["_high"] - r["_low"]
+    for r in mixed:
+        words[(r["source"], r["doc_id"])] += len(r["text"].split())
+    assert taken == words
+    targets = {r["source"]: r["target"] for r in placed.select("source", "target").distinct().collect()}
+    for source, target in targets.items():
+        assert abs(sum(n for (s, _), n in words.items() if s == source) - target) <= 1
