@@ -340,9 +340,13 @@ def dense_top_k(queries: DataFrame, corpus: DataFrame, corpus_rows: int, k: int)
     schema = _hit_schema(queries, corpus)
     if not corpus_rows:
         return queries.sparkSession.createDataFrame([], schema + ", rank int")
+    asked = queries.select("query_id", "embedding")
+    if block_count(corpus, corpus_rows, VECTOR_BLOCK, MIN_VECTOR_BLOCK) == 1:  # nothing to skip
+        one = corpus.select("document_id", "embedding", F.lit(0).cast("bigint").alias("block"))
+        asked = asked.withColumn("block", F.lit(0).cast("bigint"))
+        return best_hits(_visited(one, asked, 1, lambda: _VectorBlock(k), schema), "score", k)
     blocks, middles, radii = vector_blocks(corpus, corpus_rows)
     sent = queries.sparkSession.sparkContext.broadcast((middles, radii))
-    asked = queries.select("query_id", "embedding")
 
     def visit(pairs: DataFrame) -> DataFrame:
         return _visited(blocks, pairs.join(asked, "query_id"), len(radii), lambda: _VectorBlock(k), schema)
