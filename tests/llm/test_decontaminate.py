@@ -13,31 +13,35 @@ def best_stretch(equal, least):
     for a in range(len(equal)):
         for b in range(a + 1, len(equal) + 1):
             part = equal[a:b]
-            if part[0] and part[-1] and sum(part) >= 0.8 * len(part) - 1e-9:
+            if part[0] and part[-1] and 100 * sum(part) >= 80 * len(part):
                 best = max(best, b - a)
     return best if best >= least else 0
 
 
 def test_longest_stretch_by_brute_force():
     rng = random.Random(3)
-    for _ in range(300):
-        equal = np.array([rng.random() < 0.75 for _ in range(rng.randint(1, 30))])
-        found = decontaminate.longest_stretch(equal, 5)
-        want = best_stretch(equal.tolist(), 5)
-        if want:
+    for _ in range(600):
+        share = rng.choice([0, 0.3, 0.75, 0.9, 1])
+        equal = np.array([rng.random() < share for _ in range(rng.randint(1, 30))])
+        least = rng.randint(1, 13)
+        found = decontaminate.longest_stretch(equal, least)
+        want = best_stretch(equal.tolist(), least)
+        assert (found is None) == (want == 0)
+        if found:
             a, b = found
-            assert equal[a:b].sum() >= 0.8 * (b - a) - 1e-9 or b - a <= want
-        else:
-            assert found is None
+            assert b - a == want and equal[a] and equal[b - 1]
+            assert 100 * equal[a:b].sum() >= 80 * (b - a)
 
 
-def test_masks_miss_no_overlap_of_thirteen_words():
-    masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
-    for size, changed in ((13, 2), (15, 3)):
-        for gone in itertools.combinations(range(size), changed):
-            assert any(
-                all(p + o not in gone for o in mask) for mask in masks for p in range(size - mask[-1])
-            )
+def test_masks_miss_no_allowed_change_of_items_of_one_to_twenty_words():
+    for size in range(1, 21):
+        used = np.flatnonzero(decontaminate.masks_of(np.array([size]))[:, 0])
+        masks = [[i for i, c in enumerate(decontaminate.MASKS[m]) if c == "1"] for m in used]
+        for changed in range(size // 5 + 1):
+            for gone in itertools.combinations(range(1, size - 1), changed):
+                assert any(
+                    all(p + o not in gone for o in mask) for mask in masks for p in range(size - mask[-1])
+                )
 
 
 def make(spark):
@@ -57,7 +61,8 @@ def make(spark):
             leaks.add((i, k))
         docs.append((i, " ".join(body), "en", "a"))
     docs.append((200, f"x {items[-1][1]} y", "en", "a"))
-    leaks.add((200, 53))
+    docs.append((201, "are just four words here", "en", "a"))
+    leaks |= {(200, 53), (201, 50)}
     return docs, items, leaks
 
 
@@ -82,3 +87,41 @@ def test_empty(spark):
     assert decontaminate.leak_digest(documents(spark, []), items).count() == 0
     assert decontaminate.leak_digest(docs, items.limit(0)).count() == 0
     assert decontaminate.leak_digest(docs, items).count() == 1
+
+
+def brute_force(docs, items):
+    """(doc_id, item_id, n_words, n_equal) of the longest stretch of all alignments."""
+    out = set()
+    for i, body, *_ in docs:
+        for k, item in items:
+            x, y = (body or "").lower().split(), (item or "").lower().split()
+            best = (0, 0)
+            for shift in range(-len(y) + 1, len(x)):
+                a, b = max(shift, 0), min(shift + len(y), len(x))
+                equal = [x[j] == y[j - shift] for j in range(a, b)]
+                for p, q in itertools.combinations(range(len(equal) + 1), 2):
+                    part = equal[p:q]
+                    if part[0] and part[-1] and q - p >= min(13, len(y)) and 100 * sum(part) >= 80 * (q - p):
+                        best = max(best, (q - p, sum(part)))
+            if best[0]:
+                out.add((i, k, *best))
+    return out
+
+
+def test_items_of_all_lengths_by_brute_force(spark):
+    rng = random.Random(6)
+    items = [(n, " ".join(f"i{n}w{j % 7}" for j in range(n))) for n in range(1, 21)]
+    docs = []
+    for i in range(160):
+        part = items[i % 20][1].split()
+        for j in rng.sample(range(len(part)), min(len(part), rng.randint(0, len(part) // 5 + 1))):
+            part[j] = "zz"
+        body = words(rng, rng.randint(0, 4)) + part * rng.randint(1, 2) + words(rng, rng.randint(0, 4))
+        docs.append((i, " ".join(body), "en", "a"))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.leak_digest(documents(spark, docs), table).collect()
+    found = {(r["doc_id"], r["item_id"], r["n_words"], r["n_equal"]) for r in out}
+    want = brute_force(docs, items)
+    assert {x[:2] for x in found} == {x[:2] for x in want}
+    assert {x[:3] for x in found} == {x[:3] for x in want} and len(out) == len(want)
+    assert {k for _, k, *_ in found} == set(range(1, 21))
