@@ -8,13 +8,18 @@ pages with equal articles count once, so copies of an article do not make it a t
 that no article contains by their kind (scripts, forms, navigation, adverts, comments) are deleted
 by tag, role, class and id. A class, an id or a form alone decides nothing about an element that
 holds most of the page's text, or the page's articles where none stands outside such elements; the
-count decides about these.
+count decides about these. On pages without an article element, paragraphs, headings, lists' items
+and quotes count by the longest other text of the page, and this must differ on half of the pages
+on which they stand: so near copies of a text do not make its paragraphs a template.
 
 Inside an `article` or `main` element authors repeat lines. Elements there are template if they hold
 a small part of its text; paragraphs, headings, lists' items and quotes only if they stand among the
 first `EDGE` or the last `EDGE` of them on a share of `MOST_SHARE` of the host's different articles.
 For these, articles that are equal in the longest of their other paragraphs count once, so near
-copies of an article do not make its paragraphs a template.
+copies of an article do not make its paragraphs a template. A class or an id says something there
+only if it is made of such names alone, on an element that is no paragraph or the like, and the
+count decides: elements of that tag and these names must stand in `LEAST_PAGES` different articles
+of the host and a share of `LEAST_SHARE` of them. Only for hosts of fewer articles the names decide.
 
 Null and empty pages give an empty text. A null url is a host of its own. Equal rows get equal
 texts. An empty table gives an empty one. Unclosed, misnested and cut-off markup is read as far as
@@ -40,6 +45,8 @@ LEAST_SHARE = 0.02
 MOST_SHARE = 0.6
 EDGE = 3
 MOST_OF_ARTICLE = 0.3
+OTHERS_SHARE = 0.5
+COUNTED = 1  # in a host's template: the host has articles enough to judge by names in them
 
 # Elements and names by their meaning in HTML and by common usage.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -97,33 +104,48 @@ class Element:
     digest: int = 0
     size: int = 0  # characters of text below
     doubtful: bool = False  # dropped by name, unless the page's text is in it
+    named: int = 0  # in an article: hash of the tag and the names that make it doubtful
 
 
-def unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element is no part of an article by its kind; whether its name or form says so."""
+def unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, int]:
+    """Whether an element is no part of an article by its kind; whether its name or form says so.
+
+    Inside an article, the last value is a hash of the tag and its names, if these say so.
+    """
     if (tag in NEVER and tag != "form") or (tag == "header" and not inside):
-        return True, False
+        return True, False, 0
     doubtful = tag == "form"
     if not attributes or attributes.isspace() or tag in ("body", "html"):
-        return False, doubtful
+        return False, doubtful, 0
+    named: list[str] = []
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
-            found = set(re.split(r"[^a-z]+", value.lower()))
-            if tag not in ARTICLE and (found & NAMES or (not inside and found & NAMES_OUTSIDE)):
+            if inside:
+                if tag not in AUTHORED | ARTICLE:
+                    named += whole_names(value)
+            elif tag not in ARTICLE and set(re.split(r"[^a-z]+", value.lower())) & (NAMES | NAMES_OUTSIDE):
                 doubtful = True
         elif name == "role" and value.lower() in ROLES:
             if value.lower() != "form":
-                return True, False
+                return True, False, 0
             doubtful = True
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True, False
+            return True, False, 0
         elif name == "style" and HIDDEN.search(value):
-            return True, False
-    return False, doubtful
+            return True, False, 0
+    if named and not doubtful:
+        return False, True, xxhash.xxh64_intdigest(" ".join(["named", tag, *sorted(set(named))]))
+    return False, doubtful, 0
+
 
+def whole_names(value: str) -> list[str]:
+    """Those of the classes or ids in an attribute that are made of names alone, without numbers."""
+    tokens = ([part for part in re.split(r"[^a-z]+", token) if part] for token in value.lower().split())
+    return ["-".join(parts) for parts in tokens if parts and NAMES.issuperset(parts)]
 
-def parse(page: str) -> list[Element]:
+
+def parse(page: str, template: frozenset | set = frozenset()) -> list[Element]:
     """Elements in page order; the first is the page itself."""
     elements = [Element("#page", -1, False)]
     stack = [0]
@@ -144,7 +166,7 @@ def parse(page: str) -> list[Element]:
         if text:
             elements[stack[-1]].parts.append(html.unescape(text))
         if not found:
-            settle(elements)
+            settle(elements, template)
             return elements
         at = found.end()
         tag = found[2] or found[5]
@@ -172,8 +194,10 @@ def parse(page: str) -> list[Element]:
         parent = elements[stack[-1]]
         inside = parent.article >= 0
         number = len(elements)
-        never, doubtful = unwanted(tag, attributes, inside)
-        element = Element(tag, stack[-1], parent.dropped or never, parent.article, doubtful=doubtful)
+        never, doubtful, named = unwanted(tag, attributes, inside)
+        element = Element(
+            tag, stack[-1], parent.dropped or never, parent.article, doubtful=doubtful, named=named
+        )
         if tag in ARTICLE and not inside and not element.dropped:
             element.article = number
         elements.append(element)
@@ -189,8 +213,15 @@ def parse(page: str) -> list[Element]:
             stack.append(number)
 
 
-def settle(elements: list[Element]) -> None:
-    """Drops doubtful elements, but for those in which the page's text or its articles lie."""
+def settle(elements: list[Element], template: frozenset | set = frozenset()) -> None:
+    """Drops doubtful elements, but for those in which the page's text or its articles lie.
+
+    Where the host has been counted, names inside articles tell only what recurs there.
+    """
+    if COUNTED in template:
+        for element in elements:
+            if element.named and element.named not in template:
+                element.doubtful = False
     if not any(e.doubtful for e in elements):
         return
     sizes, depths = [0] * len(elements), [0] * len(elements)
@@ -267,6 +298,39 @@ def edges(elements: list[Element]) -> Iterator[tuple[int, int, int]]:
                 yield i, xxhash.xxh64_intdigest(end + elements[i].digest.to_bytes(8, "little")), other
 
 
+def strict(element: Element) -> bool:
+    """Whether the element recurs by the longest other texts of its pages, not by the pages."""
+    return element.article < 0 and element.tag in AUTHORED
+
+
+def strict_key(element: Element) -> int:
+    return xxhash.xxh64_intdigest(b"strict" + element.digest.to_bytes(8, "little"))
+
+
+def longest_others(elements: list[Element]) -> Iterator[tuple[int, int]]:
+    """Key of every strict element that may recur, and a hash of the page's longest text outside it."""
+    numbers = [i for i, e in enumerate(elements) if strict(e) and may_recur(e, elements)]
+    if not numbers:
+        return
+    own = [
+        "" if e.dropped else " ".join(" ".join(p for p in e.parts if isinstance(p, str)).split())
+        for e in elements
+    ]
+    # Elements below another one follow it at once, so they end where the next one begins.
+    n = len(elements)
+    end = list(range(1, n + 1))
+    before, after = [""] * (n + 1), [""] * (n + 1)
+    for i in range(n):
+        before[i + 1] = max(before[i], own[i], key=len)
+    for i in range(n - 1, -1, -1):
+        after[i] = max(own[i], after[i + 1], key=len)
+        if i:
+            end[elements[i].parent] = max(end[elements[i].parent], end[i])
+    for i in numbers:
+        other = max(before[i], after[end[i]], key=len)
+        yield strict_key(elements[i]), xxhash.xxh64_intdigest(other)
+
+
 def blocks(elements: list[Element], template: frozenset | set = frozenset()) -> list[str]:
     """Texts of the blocks of the article in page order."""
     ending = {i for i, key, _ in edges(elements) if key in template} if template else ()
@@ -286,9 +350,11 @@ def blocks(elements: list[Element], template: frozenset | set = frozenset()) ->
         number, at = todo.pop()
         element = elements[number]
         if at == 0:
-            gone = element.dropped or (
-                template and element.digest in template and may_recur(element, elements)
-            ) or number in ending
+            gone = element.dropped or number in ending or (
+                template
+                and (strict_key(element) if strict(element) else element.digest) in template
+                and may_recur(element, elements)
+            )
             if element.tag in BLOCK:
                 flush()
             if gone:
@@ -324,45 +390,57 @@ def _signed(x: int) -> int:
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """host, article (hash), subtree (hash; null once per page), ending: distinct per page.
+    """host, article (hash), subtree (a key; null once per page), ending, page: distinct per page.
 
-    For paragraphs at an end of their article (`ending`), article is the longest other one.
+    For paragraphs at an end of their article (`ending`), article is the longest other one. For
+    strict elements it is the longest other text, and the page's hash in further rows (`page`).
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, articles, subtrees, ending = [], [], [], []
+            rows: list[tuple[int, int, int | None, bool, bool]] = []
             for url, page in zip(batch.column(0), batch.column(1), strict=True):
                 elements = parse(page.as_py() or "")
                 digests(elements)
+                host = host_key(url.as_py())
                 roots = sorted(e.digest for i, e in enumerate(elements) if e.article == i)
-                article = xxhash.xxh64_intdigest(str(roots or elements[0].digest))
-                found = {e.digest for e in elements if may_recur(e, elements)}
-                hosts += [host_key(url.as_py())] * (len(found) + 1)
-                articles += [_signed(article)] * (len(found) + 1)
-                subtrees += [None, *map(_signed, found)]
-                last = {(other, key) for _, key, other in edges(elements)}
-                hosts += [host_key(url.as_py())] * len(last)
-                articles += [_signed(other) for other, _ in last]
-                subtrees += [_signed(key) for _, key in last]
-                ending += [False] * (len(found) + 1) + [True] * len(last)
-            columns = [pa.array(c, pa.int64()) for c in (hosts, articles, subtrees)]
-            columns.append(pa.array(ending, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(columns, ["host", "article", "subtree", "ending"])
-
-    return pages.select("url", "html").mapInArrow(scan, "host long, article long, subtree long, ending boolean")
+                article = _signed(xxhash.xxh64_intdigest(str(roots or elements[0].digest)))
+                found = {e.digest for e in elements if may_recur(e, elements) and not strict(e)}
+                named = {e.named for e in elements if e.named and e.dropped}
+                found |= named | {COUNTED} if named else set()
+                rows.append((host, article, None, False, False))
+                rows += [(host, article, _signed(x), False, False) for x in found]
+                rows += [(host, _signed(y), _signed(x), True, False) for x, y in {(k, o) for _, k, o in edges(elements)}]
+                others = set(longest_others(elements))
+                rows += [(host, _signed(y), _signed(x), False, False) for x, y in others]
+                rows += [(host, article, _signed(x), False, True) for x in {x for x, _ in others}]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = [pa.int64()] * 3 + [pa.bool_()] * 2
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["host", "article", "subtree", "ending", "page"],
+            )
+
+    schema = "host long, article long, subtree long, ending boolean, page boolean"
+    return pages.select("url", "html").mapInArrow(scan, schema)
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """host and its recurring subtrees. A host has at most (subtrees a page) / LEAST_SHARE of them."""
-    counts = page_subtrees(pages).distinct().groupBy("host", "subtree", "ending").agg(F.count(F.lit(1)).alias("n"))
+    counts = (
+        page_subtrees(pages)
+        .distinct()
+        .groupBy("host", "subtree", "ending")
+        .agg(F.count_if(~F.col("page")).alias("n"), F.count_if("page").alias("pages"))
+    )
     total = counts.filter("subtree is null").select(F.col("host"), F.col("n").alias("articles"))
     share = F.when(F.col("ending"), MOST_SHARE).otherwise(LEAST_SHARE)
-    often = F.greatest(F.lit(LEAST_PAGES), F.col("articles") * share)
+    often = F.greatest(F.lit(LEAST_PAGES), F.col("articles") * share, F.col("pages") * OTHERS_SHARE)
+    counted = F.col("subtree") == COUNTED
     return (
-        counts.filter(F.col("subtree").isNotNull() & (F.col("n") >= LEAST_PAGES))
+        counts.filter(F.col("subtree").isNotNull() & ((F.col("n") >= LEAST_PAGES) | counted))
         .join(total, "host")
-        .filter(F.col("n") >= often)
+        .filter(F.when(counted, F.col("articles") >= LEAST_PAGES).otherwise(F.col("n") >= often))
         .groupBy("host")
         .agg(F.collect_list("subtree").alias("subtrees"))
     )
@@ -376,13 +454,13 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             texts = []
             for page, host, subtrees in zip(*map(batch.column, (2, 3, 4)), strict=True):
-                elements = parse(page.as_py() or "")
-                digests(elements)
                 key = host.as_py()
                 if key not in known:
                     if len(known) > 256:
                         known.clear()
                     known[key] = frozenset(x & (1 << 64) - 1 for x in subtrees.as_py() or ())
+                elements = parse(page.as_py() or "", known[key])
+                digests(elements)
                 texts.append("\n".join(blocks(elements, known[key])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -129,3 +129,58 @@ def test_recurring_wrappers_go_by_their_count(spark):
     rows = [(i, f"http://a.example/{i}", f"<div class=notice>we value your privacy, all of you</div><p>{i}") for i in range(9)]
     out = html.extract(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r["page_id"], r["text"]) for r in out) == [(i, str(i)) for i in range(9)]
+
+
+def by_id(spark, rows):
+    return {r["page_id"]: r["text"].split("\n") for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section class='menu-planning'>own words</section>",
+        "<div class='social-history share-prices'>own words</div>",
+        "<section class=related-work><p>own words</p></section>",
+        "<div class=widget-theory id=ads2go-history>own words</div>",
+        "<h2 id=related-work>own words</h2>",
+        "<p id=notice-1>own words</p>",
+        "<li class='comment'>own words</li>",
+    ],
+)
+def test_names_inside_articles_that_mean_something_else(part):
+    assert read(f"<article><p>a first long paragraph of the text</p>{part}<p>end</article>") == [
+        "a first long paragraph of the text", "own words", "end"
+    ]
+
+
+def test_names_inside_articles_go_by_their_count(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(12):
+        body = f"<p>{text(rng, 30)}</p><p>{text(rng, 20)}</p>"
+        reader = f"<div class=comments id=c{i}><div>reader {text(rng, 5)}</div></div>"
+        once = f"<div class=menu>soup and {text(rng, 3)}</div>" if i == 4 else ""
+        rows.append((i, f"http://a.example/{i}", f"<article>{body}{once}{reader}</article>"))
+        few = f"<article>{body}<div class=menu>soup</div></article>" if i < 3 else f"<article>{body}</article>"
+        rows.append((100 + i, f"http://{'b' if i < 4 else 'c'}.example/{i}", few))
+    out = by_id(spark, rows)
+    for i in range(12):
+        assert not any("reader" in line for line in out[i])  # other words on each page
+        assert len(out[i]) == (3 if i == 4 else 2)
+        assert len(out[100 + i]) == 2  # too few articles to tell, so the name decides
+
+
+@pytest.mark.parametrize("copies", [6, 60])
+def test_near_copies_on_pages_without_an_article_element(spark, copies):
+    rng = random.Random(8)
+    story = [text(rng, rng.randint(15, 25)) for _ in range(7)]
+    rows = []
+    for i in range(copies):
+        lines = [*story[: i % 7], text(rng, 20), *story[i % 7 + 1 :]]
+        rows.append((i, f"http://a.example/{i}", "<body>" + "".join(f"<p>{x}</p>" for x in lines) + "</body>"))
+    for i in range(20):
+        own = "".join(f"<p>{text(rng, 20)}</p>" for _ in range(4))
+        rows.append((1000 + i, f"http://b.example/{i}", f"<body><p>our privacy policy has changed</p><div>{own}</div></body>"))
+    out = by_id(spark, rows)
+    assert all(len(out[i]) == 7 for i in range(copies))
+    assert all(len(out[1000 + i]) == 4 for i in range(20))
