@@ -3,9 +3,10 @@
 Logs often hold a conversation once per turn. Each turn has a hash of its position, role and
 text; the exclusive or of the first k is the hash of the prefix of k turns. A conversation whose
 whole hash is the prefix hash of a longer one is dropped by an anti-join; of equal conversations
-the one with the smallest id stays. Positions and prefix hashes are worked out for chunks of
-turns and carried over from chunk to chunk, so a conversation of any length is dealt over tasks.
-Hashes are two 64-bit numbers beside the number of turns.
+the one with the smallest id stays. Equal turns are counted before they are sorted, and unlike ones
+are sorted by range over the whole table, so a conversation of any length, with any turn numbers, is
+dealt over tasks. Positions are carried over from range to range, prefix hashes from chunk to chunk
+of `CHUNK_TURNS` positions. Hashes are two 64-bit numbers beside the number of turns.
 
 Turns are in order of turn (null last), role, text; equal rows are turns one after another. Null
 roles and texts are values of their own and are rendered as empty. Rows without a conversation id
@@ -26,12 +27,14 @@ HASHES = ("h1", "h2")
 
 def hashed_turns(turns: DataFrame) -> DataFrame:
     """conv_id, position (from 1), role, text and the hashes of the prefix that ends there."""
-    chunked = turns.select(
-        "conv_id", "turn", "role", "text", F.floor(F.col("turn") / CHUNK_TURNS).alias("_chunk")
-    )
     order = [F.col(c).asc_nulls_last() for c in ("turn", "role", "text")]
-    within = Window.partitionBy("conv_id", "_chunk").orderBy(*order)
-    placed = chunked.withColumn("_row", F.row_number().over(within))
+    unlike = turns.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("_own_n"))
+    ranges = unlike.repartitionByRange("conv_id", *order)
+    # Written with the number of its range, which sorts like the rows.
+    unlike = stage(ranges.withColumn("_chunk", F.spark_partition_id()), "chat_ranges")
+    upto_row = Window.partitionBy("conv_id", "_chunk").orderBy(*order)
+    upto_row = upto_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = unlike.withColumn("_last", F.sum("_own_n").over(upto_row))
 
     def carried(frame: DataFrame, columns: list[str], fold) -> DataFrame:
         """`frame` with `_past` columns: the fold of all earlier chunks of the conversation."""
@@ -43,11 +46,21 @@ def hashed_turns(turns: DataFrame) -> DataFrame:
         same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("_chunk").eqNullSafe(F.col("_part"))
         return frame.join(sums.select("_conv", "_part", *past), same).drop("_conv", "_part")
 
-    counted = carried(placed.withColumn("_own_n", F.lit(1).cast("long")), ["n"], F.sum)
-    position = (F.col("_past_n") + F.col("_row")).alias("position")
+    last = F.col("_past_n") + F.col("_last")
+    counted = carried(placed, ["n"], F.sum).withColumn("_last", last)
+    # Equal turns get a row each again, by parts of a bounded length.
+    first, size = F.col("_last") - F.col("_own_n") + 1, F.lit(CHUNK_TURNS)
+    parts = counted.select(
+        "conv_id", "role", "text", "_last", F.explode(F.sequence(first, F.col("_last"), size)).alias("_from")
+    )
+    upto_part = F.least("_last", F.col("_from") + size - 1)
+    single = parts.select(
+        "conv_id", "role", "text", F.explode(F.sequence("_from", upto_part)).alias("position")
+    )
+    chunk = F.floor((F.col("position") - 1) / CHUNK_TURNS).alias("_chunk")
     known = [F.coalesce(c, F.lit("")) for c in ("role", "text")]
     missing = [F.col(c).isNull() for c in ("role", "text")]
-    keyed = counted.select("conv_id", "_chunk", "role", "text", position).withColumns(
+    keyed = single.select("conv_id", chunk, "role", "text", "position").withColumns(
         {
             f"_own_{h}": F.xxhash64(F.lit(h), "position", *known, *missing)
             for h in HASHES

@@ -59,3 +59,15 @@ def test_hard_rows(spark):
             (None, None, None, "z"), (3, 0, "", ""), (4, 0, None, ""), (5, 0, "u", "y" * 100_000)]
     assert collect(spark.createDataFrame(rows, SCHEMA)) == by_hand(rows)
     assert collect(spark.createDataFrame([], SCHEMA)) == set()
+
+
+def test_many_rows_without_an_id_or_turn(spark, monkeypatch):
+    monkeypatch.setattr(chat, "CHUNK_TURNS", 16)
+    rows = [(None, k % 2, "u", f"t{k % 90}") for k in range(700)] + [(None, None, None, None)] * 50
+    rows += [(1, None, "u", f"t{k}") for k in range(120)] + [(2, 3, "u", "same")] * 100 + [(3, 7, "u", "same")] * 90
+    rows += [(4, -k, "u", f"t{k}") for k in range(40)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    out = chat.chat_turns(frame).collect()
+    assert {tuple(r) for r in out} == by_hand(rows) and len(out) == len(by_hand(rows))
+    dealt = chat.hashed_turns(frame.repartition(4)).select("conv_id", "position").collect()
+    assert sorted(r["position"] for r in dealt if r["conv_id"] is None) == list(range(1, 751))
