@@ -51,15 +51,16 @@ def number_slots(
 ) -> DataFrame:
     """`sharded` with `slot`: gapless from 0 within each value of `shard`.
 
-    A shard is cut into buckets by a hash of the key; rows are numbered within a bucket and
-    start at the number of rows in the buckets before it, so no task sorts a whole shard. The
-    counts read only `key` and `shard`. `order` breaks ties of the key; rows equal in all of
-    them are interchangeable.
+    A shard is cut into buckets by a hash of `key` and `order`; rows are numbered within a bucket
+    and start at the number of rows in the buckets before it, so no task sorts a whole shard, and
+    rows without a key, or with one that is repeated, are dealt over all buckets of theirs.
+    `order` breaks ties of the key; rows equal in all of them share a bucket, where they are
+    interchangeable.
     """
     # The row travels as one column, so no name of the caller can meet these.
     parts = sharded.select(
         F.col("shard").alias("_shard"),
-        F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)).cast("int").alias("_bucket"),
+        F.pmod(F.xxhash64(key, *order, F.lit("slot")), F.lit(buckets)).cast("int").alias("_bucket"),
         F.struct("*").alias("_of"),
     )
     before = Window.partitionBy("_shard").orderBy("_bucket")

@@ -54,3 +54,15 @@ def test_digest_of_hard_rows(spark):
 
 def test_empty(spark):
     assert sharding.shard_documents(documents(spark, []), 5).count() == 0
+
+
+def test_rows_without_a_key_are_dealt_over_buckets(spark):
+    rows = [(None, f"t{i}", "en", "a") for i in range(4000)] + [(7, f"u{i}", "en", "a") for i in range(2000)]
+    frame = sharding.assign_shards(documents(spark, rows), "doc_id", [(n, 1.0) for n in range(5)])
+    out = sharding.number_slots(frame, "doc_id", ["source", "text"], buckets=64).collect()
+    assert len(out) == 6000
+    for shard in {r["shard"] for r in out}:
+        slots = {r["text"]: r["slot"] for r in out if r["shard"] == shard}
+        assert sorted(slots.values()) == list(range(len(slots)))
+        # Numbered by bucket, so not in the order that one sort of all rows would give.
+        assert [t for t, _ in sorted(slots.items(), key=lambda x: x[1])] != sorted(slots)
