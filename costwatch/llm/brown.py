@@ -26,7 +26,7 @@ gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
@@ -324,11 +324,13 @@ def scored(documents: DataFrame, learn: Column, dictionary: int = DICTIONARY) ->
     heavy = heaviest(counts, dictionary).toPandas()
     order = np.argsort(heavy["word"].to_numpy(np.int64))
     shared = documents.sparkSession.sparkContext.broadcast(
-        (heavy["word"].to_numpy(np.int64)[order], heavy["n"].to_numpy(np.int64)[order], model)
+        # Plain arrays: a class of this package in a broadcast would have to be found by executors.
+        (heavy["word"].to_numpy(np.int64)[order], heavy["n"].to_numpy(np.int64)[order], astuple(model))
     )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, listed_n, model = shared.value
+        listed, listed_n, parts = shared.value
+        model = BrownModel(*parts)
         end_known, end_base = int(model.texts > 0), float(model.base(model.texts))
         for batch in batches:
             for low, high, words in word_slices(batch.column(2)):

@@ -1,5 +1,8 @@
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -129,3 +132,21 @@ def test_without_training_rows(spark):
     assert {r["train_tokens"] for r in out} == {0} and {r["n_known"] for r in out} == {0}
     assert {r["base_score"] for r in out} == {0.0}
     assert brown.scored(documents(spark, []), brown.training()).count() == 0
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Workers that start in another folder, without a path to the package."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from costwatch.llm import brown
+rows = [(i, "some words of text " + str(i % 3)) for i in range(40)]
+out = brown.scored(spark.createDataFrame(rows, "doc_id long, text string"), brown.training()).collect()
+assert len(out) == 40, out
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert done.returncode == 0, done.stderr[-2000:]
