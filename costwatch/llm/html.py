@@ -427,18 +427,21 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame) -> DataFrame:
     """host and its recurring subtrees. A host has at most (subtrees a page) / LEAST_SHARE of them."""
-    counts = (
+    counted = F.col("subtree") == COUNTED
+    # Written, as both sides of the join below read it: pages are counted in one pass.
+    counts = stage(
         page_subtrees(pages)
         .distinct()
         .groupBy("host", "subtree", "ending")
         .agg(F.count_if(~F.col("page")).alias("n"), F.count_if("page").alias("pages"))
+        .filter(F.col("subtree").isNull() | (F.col("n") >= LEAST_PAGES) | counted),
+        "subtree_counts",
     )
     total = counts.filter("subtree is null").select(F.col("host"), F.col("n").alias("articles"))
     share = F.when(F.col("ending"), MOST_SHARE).otherwise(LEAST_SHARE)
     often = F.greatest(F.lit(LEAST_PAGES), F.col("articles") * share, F.col("pages") * OTHERS_SHARE)
-    counted = F.col("subtree") == COUNTED
     return (
-        counts.filter(F.col("subtree").isNotNull() & ((F.col("n") >= LEAST_PAGES) | counted))
+        counts.filter(F.col("subtree").isNotNull())
         .join(total, "host")
         .filter(F.when(counted, F.col("articles") >= LEAST_PAGES).otherwise(F.col("n") >= often))
         .groupBy("host")
