@@ -10,12 +10,18 @@ others are proved on their full sets. From the draw of samples and the parity no
 pair of similarity 0.80 has 92.7 differing bits on average with a deviation of 10.2; it is dropped
 above 152, with a probability of 7.1e-9 (7e-11 at 0.82). Bands miss 4.6e-7 of pairs at 0.80.
 
+Candidates also have a parity bitmap of the whole set, of 4 to 8 bits a shingle. Each shingle that
+only one of two sets has flips one bit, so the bits that differ are never more than these shingles:
+with the sizes this is an exact bound, and a pair beyond it is dropped without any loss. Bitmaps
+end at `MOST_BITS`; longer sets leave more pairs to the proof.
+
 In a bucket of a band every member is first compared with one centre, in several rounds: after
 each, proved links are contracted to components, and the next centre is compared only with
 members of other components. What is then left in a bucket, members of components that are not
 linked yet, is compared pair by pair, unless their sizes or sketches or, by the triangle inequality,
-their distances to the bucket's first centre rule a link out. So a group of near copies costs a few
-comparisons per member and no link between different components is left out.
+their distances to the bucket's first centre rule a link out; pairs inside the bucket's largest
+component are not formed. So a group of near copies costs a few comparisons per member and no link
+between different components is left out.
 
 Null and empty texts and texts without words have an empty set and are linked with nothing.
 A class is known by a 64-bit hash of its set and the set's size. Rows without an id take part
@@ -41,6 +47,8 @@ SKETCH_BITS = 512
 THRESHOLD = 80  # percent
 SLACK = 0.2
 STAR_ROUNDS = 3
+LEAST_BITS, MOST_BITS = 128, 1 << 14  # of a whole set's bitmap
+BITS_A_SHINGLE = 4
 
 _SAMPLES = BANDS * ROWS
 _SEEDS = mix(np.arange(1, _SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -89,6 +97,19 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a whole set, as signed 64-bit integers; its length is a power of two.
+
+    Folding the halves of a bitmap over one another gives the next shorter one.
+    """
+    bits = LEAST_BITS
+    while bits < min(BITS_A_SHINGLE * len(shingles), MOST_BITS):
+        bits *= 2
+    place = mix(shingles) & np.uint64(bits - 1)
+    odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def band_keys(samples: np.ndarray) -> np.ndarray:
     grid = samples.reshape(BANDS, ROWS)
     keys = np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -134,7 +155,7 @@ def sketches(documents: DataFrame, n: int) -> DataFrame:
 
 
 def full_sets(documents: DataFrame, n: int, wanted) -> DataFrame:
-    """node and its whole set, for documents whose id passes the Bloom filter `wanted`."""
+    """node, its whole set and bitmap, for documents whose id passes the Bloom filter `wanted`."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bloom.bits(wanted.value)
@@ -143,25 +164,48 @@ def full_sets(documents: DataFrame, n: int, wanted) -> DataFrame:
             rows = pa.array(np.flatnonzero(bloom.passes(table, keys)))
             sets = list(shingle_sets(batch.column(1).take(rows), n))
             nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([nodes, _lists(sets)], ["node", "shingles"])
+            bitmaps = _lists([parity_bitmap(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([nodes, _lists(sets), bitmaps], ["node", "shingles", "parity"])
 
     keyed = documents.select(F.xxhash64("doc_id").alias("key"), "text")
-    return keyed.mapInArrow(gather, "node long, shingles array<long>")
+    return keyed.mapInArrow(gather, "node long, shingles array<long>, parity array<long>")
 
 
 def _ordered(a: Column | str, b: Column | str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _likely(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column) -> Column:
-    """Whether sizes and sketches of two sets leave room for the threshold."""
-    bits = F.aggregate(
-        F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+def _differing(x: Column, y: Column) -> Column:
+    """Bits that differ between two bitmaps of one length."""
+    return F.aggregate(
+        F.zip_with(x, y, lambda v, w: F.bit_count(v.bitwiseXOR(w))),
         F.lit(0),
-        lambda total, x: total + x.cast("int"),
+        lambda total, v: total + v.cast("int"),
     )
+
+
+def _folded(bitmap: Column) -> Column:
+    half = (F.size(bitmap) / 2).cast("int")
+    return F.zip_with(F.slice(bitmap, F.lit(1), half), F.slice(bitmap, half + 1, half), lambda v, w: v.bitwiseXOR(w))
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Whether sizes, sketches and bitmaps of two sets leave room for the threshold.
+
+    `a` and `b` stand for `{}` in a column's name. Sets of such sizes have bitmaps of one length
+    or of twice the other's.
+    """
+    n_a, n_b = F.col(a.format("n")), F.col(b.format("n"))
     sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * THRESHOLD
-    return sizes & (bits <= most_differing_bits(THRESHOLD / 100 - SLACK))
+    bits = _differing(F.col(a.format("sketch")), F.col(b.format("sketch")))
+    p_a, p_b = F.col(a.format("parity")), F.col(b.format("parity"))
+    apart = (
+        F.when(F.size(p_a) > F.size(p_b), _differing(_folded(p_a), p_b))
+        .when(F.size(p_a) < F.size(p_b), _differing(p_a, _folded(p_b)))
+        .otherwise(_differing(p_a, p_b))
+    )
+    room = apart * (100 + THRESHOLD) <= (n_a + n_b) * (100 - THRESHOLD)
+    return sizes & (bits <= most_differing_bits(THRESHOLD / 100 - SLACK)) & room
 
 
 class _Prover:
@@ -177,26 +221,26 @@ class _Prover:
                 F.first("sketch").alias("sketch"),
             )
         )
-        self.info = stage(info, "neardup_info")
+        info = stage(info, "neardup_info")
         # Sets leave the scan only where the id passes; the join by node is exact.
-        wanted = bloom.build(self.info, F.xxhash64("doc_id"))
+        wanted = bloom.build(info, F.xxhash64("doc_id"))
         sets = (
             full_sets(documents, n, wanted)
             .join(nodes, "node", "left_semi")
             .groupBy("node")
-            .agg(F.first("shingles").alias("shingles"))
+            .agg(F.first("shingles").alias("shingles"), F.first("parity").alias("parity"))
         )
         self.sets = stage(sets, "neardup_sets")
+        self.info = stage(info.join(self.sets.select("node", "parity"), "node"), "neardup_facts")
 
     def shared(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs that pass the sketch, with the sizes of intersection and union of their sets."""
-        left = self.info.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-        right = self.info.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+        """Pairs that may be linked, with the sizes of intersection and union of their sets."""
+        left, right = (
+            self.info.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "sketch", "parity")])
+            for end in "ab"
+        )
         likely = (
-            pairs.join(left, "a")
-            .join(right, "b")
-            .filter(_likely(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b")))
-            .select("a", "b", "n_a", "n_b")
+            pairs.join(left, "a").join(right, "b").filter(_may_link("{}_a", "{}_b")).select("a", "b", "n_a", "n_b")
         )
         likely = stage(likely, f"{name}_likely")
         both = F.size(F.array_intersect("x", "y"))
@@ -288,8 +332,8 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
     ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
     members = members.select("key", "node", "pivot", *ends).join(away, ["a", "b"], "left")
     members = members.select("key", "node", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
-    facts = ("root", "node", "d", "n", "sketch")
-    members = members.join(prover.info.select("node", "n", "sketch"), "node")
+    facts = ("root", "node", "d", "n", "sketch", "parity")
+    members = members.join(prover.info.select(*[c for c in facts if c not in ("root", "d")]), "node")
     tried = pairs
     for turn in range(1, STAR_ROUNDS + 1):
         # Buckets that still hold several components, with a centre each.
@@ -310,17 +354,22 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
             return roots
         if turn < STAR_ROUNDS:
             near = (F.col("root") != F.col("centre.root")) & _near(F.col("d"), F.col("centre.d"))
-            near = near & _likely(*[F.col(c) for c in ("n", "centre.n", "sketch", "centre.sketch")])
-            pairs = members.filter(near).select(*_ordered(F.col("node"), F.col("centre.node")))
+            pairs = members.filter(near & _may_link("{}", "centre.{}")).select(*_ordered(F.col("node"), F.col("centre.node")))
         else:
+            # All pairs of components but those of the largest one's members with one another.
+            sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+            largest = sizes.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("hub"))
+            members = members.join(largest, "key").withColumn("in_hub", F.col("root") == F.col("hub"))
             one, two = (
-                members.select("key", *[F.col(c).alias(c + end) for c in facts])
+                members.select("key", "in_hub", *facts).withColumnsRenamed({c: c + end for c in ("in_hub", *facts)})
                 for end in ("_x", "_y")
             )
-            apart = (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y"))
-            near = apart & _near(F.col("d_x"), F.col("d_y"))
-            near = near & _likely(*[F.col(c) for c in ("n_x", "n_y", "sketch_x", "sketch_y")])
-            pairs = one.join(two, "key").filter(near).select(*_ordered("node_x", "node_y"))
+            once = F.col("in_hub_y") | (F.col("node_x") < F.col("node_y"))
+            near = once & (F.col("root_x") != F.col("root_y")) & _near(F.col("d_x"), F.col("d_y"))
+            pairs = (
+                one.filter("NOT in_hub_x").join(two, "key").filter(near & _may_link("{}_x", "{}_y"))
+                .select(*_ordered("node_x", "node_y"))
+            )
         pairs = stage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"neardup_pairs_{turn}")
         if not pairs.isEmpty():
             tried = tried.unionByName(pairs)

@@ -146,3 +146,44 @@ def test_rows_kept_by_id_and_text(spark):
         assert len(third) == 1 and third[0][1] in (three, three + " end")
         rest = [rows[0], rows[2], *rows[7:]]
         assert [f for f in found if f[0] != "6"] == sorted((str(i), str(t)) for i, t, _, _ in rest)
+
+
+def test_bitmaps_of_whole_sets_bound_the_difference_from_below():
+    rng = np.random.default_rng(3)
+    for size in (1, 30, 31, 33, 500, 5000):
+        base = rng.integers(0, 1 << 62, size, dtype=np.uint64)
+        for changed in (0, 1, size // 5, size):
+            other = base.copy()
+            other[:changed] = rng.integers(0, 1 << 62, changed, dtype=np.uint64)
+            other = other[: max(1, int(size * 0.9))]
+            x, y = neardup.parity_bitmap(base), neardup.parity_bitmap(other)
+            while len(x) > len(y):
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            bits = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+            apart = len(np.setxor1d(base, other))
+            assert bits <= apart and (bits - apart) % 2 == 0
+
+
+def test_candidates_are_dropped_only_below_the_threshold(spark):
+    rng = np.random.default_rng(4)
+    rows, true = [], []
+    for k, size in enumerate((1, 5, 31, 32, 33, 63, 64, 65, 200, 1000, 6000)):
+        for share in (0.0, 0.05, 0.1, 0.11, 0.112, 0.2, 0.5, 1.0):
+            a = rng.integers(0, 1 << 62, size, dtype=np.uint64)
+            b = a.copy()
+            cut = round(size * share)
+            b[:cut] = rng.integers(0, 1 << 62, cut, dtype=np.uint64)
+            b = b[: max(1, size - round(size * share / 4))]
+            row = []
+            for one in (a, b):
+                bits = neardup.odd_sketch(neardup.minhash(one)), neardup.parity_bitmap(one)
+                row += [len(one), *[part.tolist() for part in bits]]
+            rows.append((len(rows), *row))
+            true.append(100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)))
+    schema = "id int, n_x long, sketch_x array<long>, parity_x array<long>, n_y long, sketch_y array<long>, parity_y array<long>"
+    table = spark.createDataFrame(rows, schema)
+    both = table.select("id", neardup._may_link("{}_x", "{}_y").alias("xy"), neardup._may_link("{}_y", "{}_x").alias("yx"))
+    found = {r.id: (r.xy, r.yx) for r in both.collect()}
+    assert all(found[i] == (True, True) for i, linked in enumerate(true) if linked)
+    assert sum(found[i][0] for i, linked in enumerate(true) if not linked) <= 5
+    assert all(x == y for x, y in found.values())
