@@ -224,18 +224,24 @@ def plan_mix(
 
 
 def mix_digest(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target and taken: words of each document in the mix."""
+    """doc_id, size, source_size, target, taken and uses: the words of each document in the mix.
+
+    `uses` lists slot, output shard and words of each use by slot (empty if there is none); a
+    document has no more of them than its blocks times `MOST_REPEATS`. `taken` is their sum.
+    """
     placed, pieces = plan_mix(documents, block_words, seed)
     columns = ["source_ix", "_start", "_uid", "doc_id", "size", "source_size", "target"]
-    used = (F.col("_high") - F.col("_low")).cast("long")
-    unused = placed.select(*columns, F.lit(0).cast("long").alias("taken"))
+    words = (F.col("_high") - F.col("_low")).cast("long").alias("words")
+    use = F.struct("slot", "shard", words)
+    unused = placed.select(*columns, F.lit(None).cast("struct<slot: long, shard: long, words: long>").alias("use"))
     return (
-        pieces.select(*columns, used.alias("taken"))
+        pieces.select(*columns, use.alias("use"))
         .unionByName(unused.filter("size > 0"))
         .groupBy(*columns)
-        .agg(F.sum("taken").alias("taken"))
-        .unionByName(unused.filter("size = 0"))
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .agg(F.array_sort(F.collect_list("use")).alias("uses"))
+        .unionByName(unused.filter("size = 0").select(*columns, F.slice(F.array("use"), 1, 0).alias("uses")))
+        .withColumn("taken", F.aggregate("uses", F.lit(0).cast("long"), lambda n, u: n + u["words"]))
+        .select("doc_id", "size", "source_size", "target", "taken", "uses")
     )
 
 

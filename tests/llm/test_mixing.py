@@ -110,3 +110,28 @@ def test_one_text_in_several_sources(spark):
     targets = {r["source"]: r["target"] for r in placed.select("source", "target").distinct().collect()}
     for source, target in targets.items():
         assert abs(sum(n for (s, _), n in words.items() if s == source) - target) <= 1
+
+
+def test_uses_name_slots_and_output_shards(spark):
+    rng = random.Random(8)
+    rows = [(i, text(rng, rng.randrange(0, 900)), "en", rng.choice("ab")) for i in range(60)]
+    out = mixing.mix_digest(documents(spark, rows), block_words=64).collect()
+    again = mixing.mix_digest(documents(spark, rows), block_words=64).collect()
+    assert sorted(out, key=str) == sorted(again, key=str)
+    source = {i: s for i, _, _, s in rows}
+    for name in "ab":
+        slots, of = Counter(), {}
+        for r in out:
+            if source[r["doc_id"]] != name:
+                continue
+            assert r["taken"] == sum(u["words"] for u in r["uses"])
+            assert [u["slot"] for u in r["uses"]] == sorted({u["slot"] for u in r["uses"]})
+            want = int(np.floor(r["target"] + 0.5))
+            for u in r["uses"]:
+                slots[u["slot"]] += u["words"]
+                assert of.setdefault(u["slot"], u["shard"]) == u["shard"]
+        assert sorted(slots) == list(range(len(slots))) and sum(slots.values()) == want
+        assert max(slots.values()) <= 64
+        in_order = [of[slot] for slot in range(len(slots))]
+        assert in_order == sorted(in_order) and 0 <= in_order[0] and in_order[-1] < mixing.OUTPUT_SHARDS
+        assert len(set(in_order)) > mixing.OUTPUT_SHARDS // 2
