@@ -145,6 +145,10 @@ def retrieval_recall(hits: DataFrame, truth: DataFrame, k: int) -> DataFrame:
 
 
 GRAM = 3  # characters of a fingerprint
+SHORT_TEXT = 64  # characters, up to which cutting runs out of a text is cheaper than splitting it
+
+
+FEW_GRAMS = 64  # asked for; so many are looked up in whole texts, more are cut out of them
 
 
 def character_grams(text: Column, n: int) -> Column:
@@ -155,7 +159,10 @@ def character_grams(text: Column, n: int) -> Column:
         grams = F.transform(at, lambda i: F.concat(*[F.get(chars, i - 1 + k) for k in range(n)]))
         return F.when(F.size(chars) >= n, F.array_distinct(grams))
 
-    return let(F.split(text, ""), runs)
+    size = F.char_length(text)
+    at = F.sequence(F.lit(1), size - n + 1)
+    cut = F.when(size >= n, F.array_distinct(F.transform(at, lambda i: F.substring(text, i, F.lit(n)))))
+    return F.when(size <= SHORT_TEXT, cut).otherwise(let(F.split(text, ""), runs))
 
 
 def gram_matches(parts: DataFrame, texts: DataFrame, text_col: str) -> DataFrame:
@@ -172,9 +179,14 @@ def gram_matches(parts: DataFrame, texts: DataFrame, text_col: str) -> DataFrame
     asked = stage(parts.select("query_id", "part", F.explode(grams).alias("gram")), "part_grams")
     known = join_side(stage(asked.select("gram").distinct(), "asked_grams"))
     text = F.col(text_col)
-    every = [F.coalesce(character_grams(text, n), F.array().cast("array<string>")) for n in range(1, GRAM + 1)]
+    few = [r["gram"] for r in known.limit(FEW_GRAMS + 1).collect()]
+    if few and len(few) <= FEW_GRAMS:  # looked up in the texts, which need not be cut
+        runs = F.filter(F.array(*[F.lit(g) for g in few]), lambda g: F.contains(text, g))
+    else:
+        every = [F.coalesce(character_grams(text, n), F.array().cast("array<string>")) for n in range(1, GRAM + 1)]
+        runs = F.concat(F.array(F.lit("")), *every)
     keys = [c for c in texts.columns if c != text_col]
-    held = texts.filter(text.isNotNull()).select(*keys, F.explode(F.concat(F.array(F.lit("")), *every)).alias("gram"))
+    held = texts.filter(text.isNotNull()).select(*keys, F.explode(runs).alias("gram"))
     held = stage(held.join(known, "gram", "left_semi"), "held_grams")
     seen = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = (
@@ -188,6 +200,23 @@ def gram_matches(parts: DataFrame, texts: DataFrame, text_col: str) -> DataFrame
     return rarest.select("query_id", "part", "gram").join(held, "gram").drop("gram")
 
 
+def _wider_terms(short: DataFrame, terms: DataFrame) -> DataFrame:
+    """(query_id, term): terms one of which a document must hold, for queries of one or two tokens.
+
+    `short` is ((query_id, words), side, part), a row for each token. Of the two sides that with
+    fewer postings is taken.
+    """
+    vocabulary = terms.select("term", "df", F.col("term").alias("_term"))
+    found = gram_matches(short.select("query_id", "part").distinct(), vocabulary, "_term")
+    alone = F.size("query_id._words") == 1
+    fits = F.when(alone, F.contains("term", "part")).when(F.col("side") == 0, F.endswith("term", "part"))
+    fits = fits.otherwise(F.startswith("term", "part"))
+    wider = stage(found.join(short.distinct(), ["query_id", "part"]).filter(fits), "wider_terms")
+    costs = wider.groupBy("query_id", "side").agg(F.sum("df").alias("n"))
+    side = costs.groupBy("query_id").agg(F.min(F.struct("n", "side"))["side"].alias("side"))
+    return wider.join(side, ["query_id", "side"], "left_semi").select("query_id.query_id", "term")
+
+
 def contained_passages(queries: DataFrame, docs: DataFrame, index: LexicalIndex) -> DataFrame:
     """(query_id, document_id) where the document holds the query text verbatim.
 
@@ -207,13 +236,13 @@ def contained_passages(queries: DataFrame, docs: DataFrame, index: LexicalIndex)
         .agg(F.min(F.struct("df", "term"))["term"].alias("term"))
     )
     texts = docs.select("document_id", F.col("text").alias("_doc"))
-    short = asked.filter(F.size("_words").between(1, 2)).select("query_id", F.col("_words")[0].alias("part"))
+    few = asked.filter(F.size("_words").between(1, 2)).select(F.struct("query_id", "_words").alias("query_id"), "_words")
+    first, last = F.struct(F.lit(0).alias("side"), F.col("_words")[0].alias("part")), F.struct(F.lit(1).alias("side"), F.get("_words", F.lit(1)).alias("part"))
+    short = few.select("query_id", F.inline(F.array(first, last))).filter("part is not null")
     bare = asked.filter(F.size("_words") == 0).select("query_id", F.col("text").alias("part"))
     suspects = anchors
     if not short.isEmpty():
-        vocabulary = index.terms.select("term", F.col("term").alias("_term"))
-        wider = gram_matches(short, vocabulary, "_term").filter(F.contains("term", "part"))
-        suspects = anchors.unionByName(wider.select("query_id", "term"))
+        suspects = anchors.unionByName(_wider_terms(short, index.terms))
     suspects = suspects.join(index.postings.select("document_id", "term"), "term").select("query_id", "document_id")
     if not bare.isEmpty():
         suspects = suspects.unionByName(gram_matches(bare, texts, "_doc").select("query_id", "document_id"))

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from costwatch.operators import blocks, lexical
+from costwatch.operators import blocks, evaluate, lexical
 
 COMMON = [f"w{i}x" for i in range(12)]
 
@@ -42,3 +42,21 @@ def test_questions_are_not_dealt_to_blocks(spark, texts, monkeypatch):
     assert hits.count() == 300
     assert sum(visits) <= 2 * len(texts[1])
     assert not {"weights", "unit_weights", "blocked_postings"} & set(written)
+
+
+def test_short_passages_need_no_cut_texts(spark, monkeypatch):
+    """Passages of two tokens are looked for by both, those without a token by a few lookups."""
+    rows = [(i, f"of the {i} é! offer them {i}") for i in range(40)] + [(90, "proof the rest"), (91, None)]
+    docs = spark.createDataFrame(rows, "document_id long, text string")
+    asked = [(1, "of the"), (2, "the 7"), (3, "é!"), (4, "Of the"), (5, "fer"), (6, ""), (7, "of"), (7, "e 8"), (8, "the zz")]
+    passages = spark.createDataFrame(asked, "query_id long, text string")
+    tables, staged, cut = {}, evaluate.stage, []
+    monkeypatch.setattr(evaluate, "stage", lambda df, name: tables.setdefault(name, []).append(staged(df, name)) or tables[name][-1])
+    grams = evaluate.character_grams
+    monkeypatch.setattr(evaluate, "character_grams", lambda text, n: cut.append(str(text)) or grams(text, n))
+    got = evaluate.contained_passages(passages, docs, lexical.lexical_index(docs))
+    expected = sorted((q, i) for q, p in asked for i, t in rows if t is not None and p in t)
+    assert sorted(map(tuple, got.collect())) == expected
+    assert not any("_doc" in c for c in cut)
+    wider = {(r["query_id"][0], r["term"]) for r in tables["wider_terms"][0].collect()}
+    assert (1, "offer") not in wider and (1, "proof") in wider and (5, "offer") in wider
