@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from costwatch.operators import blocks, evaluate, lexical
+from costwatch.operators import blocks, dense, evaluate, lexical
 
 COMMON = [f"w{i}x" for i in range(12)]
 
@@ -60,3 +60,14 @@ def test_short_passages_need_no_cut_texts(spark, monkeypatch):
     assert not any("_doc" in c for c in cut)
     wider = {(r["query_id"][0], r["term"]) for r in tables["wider_terms"][0].collect()}
     assert (1, "offer") not in wider and (1, "proof") in wider and (5, "offer") in wider
+
+
+def test_vectors_from_the_index(spark, monkeypatch):
+    """The default vectors come from the counted terms; documents are not cut into tokens again."""
+    rows = [("a", "One two two three-4"), ("b", ""), ("c", None), ("d", "two é"), ("d", "two two")]
+    docs = spark.createDataFrame(rows, "document_id string, text string")
+    index = lexical.lexical_index(docs)
+    plain = sorted((r[0], list(r[1])) for r in dense.encode(docs, "document_id").collect())
+    counted = dense.encode_counted(index.counted)
+    assert sorted((r[0], list(r[1])) for r in counted.collect()) == plain
+    assert "regexp_extract_all" not in counted._jdf.queryExecution().toString()
