@@ -328,23 +328,24 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
     proved = prover.shared(pairs, "neardup")
     roots = components(proved.filter(linked).select("a", "b"), None, "neardup")
     # The distance of each member to the first centre of its bucket, where the sketch let it pass.
+    # Sketches and bitmaps are met by distinct pair, in the proof; a row for each bucket and member
+    # carries them in the last round only.
     away = proved.select("a", "b", (1 - F.col("both") / F.col("union")).alias("d"))
     ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
     members = members.select("key", "node", "pivot", *ends).join(away, ["a", "b"], "left")
     members = members.select("key", "node", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
     facts = ("root", "node", "d", "n", "sketch", "parity")
-    members = members.join(prover.info.select(*[c for c in facts if c not in ("root", "d")]), "node")
     tried = pairs
     for turn in range(1, STAR_ROUNDS + 1):
         # Buckets that still hold several components, with a centre each.
-        placed = _by_root(members.select("key", *facts[1:]), roots)
+        placed = _by_root(members.select("key", "node", "d"), roots)
         pick = F.max if turn % 2 else F.min
         open_buckets = (
             placed.groupBy("key")
             .agg(
                 F.min("root").alias("low"),
                 F.max("root").alias("high"),
-                pick(F.struct(*facts)).alias("centre"),
+                pick(F.struct("root", "node", "d")).alias("centre"),
             )
             .filter("low != high")
             .select("key", "centre")
@@ -354,12 +355,13 @@ def node_components(documents: DataFrame, drawn: DataFrame, n: int) -> DataFrame
             return roots
         if turn < STAR_ROUNDS:
             near = (F.col("root") != F.col("centre.root")) & _near(F.col("d"), F.col("centre.d"))
-            pairs = members.filter(near & _may_link("{}", "centre.{}")).select(*_ordered(F.col("node"), F.col("centre.node")))
+            pairs = members.filter(near).select(*_ordered(F.col("node"), F.col("centre.node")))
         else:
             # All pairs of components but those of the largest one's members with one another.
             sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
             largest = sizes.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("hub"))
             members = members.join(largest, "key").withColumn("in_hub", F.col("root") == F.col("hub"))
+            members = members.join(prover.info.drop("doc_id"), "node")
             one, two = (
                 members.select("key", "in_hub", *facts).withColumnsRenamed({c: c + end for c in ("in_hub", *facts)})
                 for end in ("_x", "_y")
