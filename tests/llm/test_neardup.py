@@ -187,3 +187,20 @@ def test_candidates_are_dropped_only_below_the_threshold(spark):
     assert all(found[i] == (True, True) for i, linked in enumerate(true) if linked)
     assert sum(found[i][0] for i, linked in enumerate(true) if not linked) <= 5
     assert all(x == y for x, y in found.values())
+
+
+def test_members_stay_narrow(spark, monkeypatch):
+    """Rows of bucket and member carry no sketch and no bitmap from round to round."""
+    written, stage = [], neardup.stage
+
+    def noted(df, name):
+        written.append((name, df.schema.simpleString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(neardup, "stage", noted)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(words[: 119 - 3 * (i % 10)])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["component_id"] for r in neardup.near_duplicates(docs).collect()} == {0}
+    opened = [kind for name, kind in written if name.startswith("neardup_open")]
+    assert opened and not any("sketch" in kind or "parity" in kind for kind in opened)
