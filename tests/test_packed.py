@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from costwatch.functions import grams, text
-from costwatch.operators import blocks, lexical, packed
+from costwatch.operators import blocks, explain, lexical, packed
 
 TEXTS = [
     "The end of the END", "é éà x a_b 12 ab", "日本 a 日本語 𝒳𝒴 𝒳", "", "x", None, "a-b cd-ef\tgh\n--ij", "İstanbul ǅ ßa", "ab" * 40,
@@ -90,3 +90,13 @@ def test_block_against_brute_force(monkeypatch, cells, often):
         expected += [(q, f"d{d:02}", -s) for s, d in sorted(near)[:4]]
     assert [(q, d) for q, d in zip(got.to_pylist(), found.to_pylist())] == [e[:2] for e in expected]
     assert scores.to_pylist() == pytest.approx([e[2] for e in expected], abs=1e-8)
+
+
+@pytest.mark.parametrize(("texts", "asked"), [([], ["red"]), (["red sea"], []), (["of", "", None], ["of red"]), (["x y", "red"], ["red of"])])
+def test_nothing_to_find(spark, texts, asked):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "document_id long, text string")
+    queries = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "query_id long, text string")
+    hits = lexical.tfidf_search(queries, lexical.tfidf_index(docs, ["of"]), 3)
+    assert [tuple(r)[:2] for r in hits.collect()] == ([(0, 1)] if texts[:1] == ["x y"] else [])
+    prompts = explain.qa_prompts(queries, hits, docs).collect()
+    assert [r["n_evidence"] for r in prompts] == [int(texts[:1] == ["x y"])] * len(asked)
